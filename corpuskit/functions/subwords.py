@@ -67,33 +67,47 @@ def wordpiece_segmenter(vocab: frozenset[str], prefix: str = WORDPIECE_PREFIX) -
     return segment
 
 
-def best_path(word: str, logp: dict[str, float], without: str | None = None) -> list[str] | None:
+def word_edges(word: str, logp: dict[str, float]) -> list[list[tuple[int, float, str]]]:
+    """Per end position the pieces of the model that end there, longest first."""
+    return [
+        [
+            (start, logp[piece], piece)
+            for start in range(max(0, end - MAX_SUBWORD), end)
+            if (piece := word[start:end]) in logp
+        ]
+        for end in range(1, len(word) + 1)
+    ]
+
+
+def best_path(
+    edges: list[list[tuple[int, float, str]]], without: str | None = None
+) -> list[str] | None:
     """Most likely segmentation, or None when no path reaches the end.
 
-    On equal scores the longer last token stays.
+    On equal scores the longer last piece stays.
     """
-    reach: list[tuple[float, int]] = [(0.0, 0)]
-    for end in range(1, len(word) + 1):
-        best = (-math.inf, -1)
-        for start in range(max(0, end - MAX_SUBWORD), end):
-            piece = word[start:end]
-            score = logp.get(piece)
-            if score is not None and piece != without and reach[start][0] + score > best[0]:
-                best = (reach[start][0] + score, start)
+    reach: list[tuple[float, int, str]] = [(0.0, 0, "")]
+    for arriving in edges:
+        best = (-math.inf, -1, "")
+        for start, gain, piece in arriving:
+            score = reach[start][0] + gain
+            if score > best[0] and piece != without:
+                best = (score, start, piece)
         reach.append(best)
     if reach[-1][1] < 0:
         return None
-    cuts = [len(word)]
-    while cuts[-1] > 0:
-        cuts.append(reach[cuts[-1]][1])
-    return [word[a:b] for b, a in zip(cuts[-2::-1], cuts[:0:-1])]
+    at, path = len(edges), []
+    while at > 0:
+        _, at, piece = reach[at]
+        path.append(piece)
+    return path[::-1]
 
 
 def unigram_segmenter(logp: dict[str, float]) -> Segmenter:
     """Best path; a word no path covers falls back to characters."""
 
     def segment(word: str) -> list[str]:
-        path = best_path(word, logp)
+        path = best_path(word_edges(word, logp))
         return [c if c in logp else UNK_TOKEN for c in word] if path is None else path
 
     return segment

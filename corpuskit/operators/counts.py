@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuskit.functions import arrays, text as tx
+from corpuskit.session import cut_lineage, is_small, spread
 
 # A corpus position packed into one BIGINT: document id above, chunk position
 # below.  One integer keeps min() inside the hash aggregate; min(struct) would
@@ -154,17 +158,95 @@ def substring_counts(word_types: DataFrame, max_len: int = tx.MAX_SUBWORD) -> Da
     )
 
 
+# Substring lengths counted together; a longer one is only counted where all its
+# parts of the longest length counted before are still in the running.
+LENGTH_STEPS = ((1, 3), (4, 5), (6, 8), (9, 16))
+
+
+def _counted_lengths(
+    word_types: DataFrame, low: int, high: int, parts: frozenset[str] | None
+) -> DataFrame:
+    """Substring counts for lengths ``low`` to ``high`` (parts have length ``low - 1``)."""
+    shared = word_types.sparkSession.sparkContext.broadcast(parts)
+
+    def ends(word: str) -> Iterator[tuple[int, int]]:
+        """Start and longest useful length at each start."""
+        reach = 0
+        for start in range(len(word) - low, -1, -1):
+            if shared.value is None:
+                yield start, high
+                continue
+            held = word[start : start + low - 1] in shared.value
+            after = word[start + 1 : start + low] in shared.value
+            reach = (reach + 1 if reach else low) if held and after else 0
+            yield start, min(reach, high)
+
+    def run(data: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in data:
+            freq: dict[str, int] = {}
+            met: dict[str, int] = {}
+            columns = (batch.column(c).to_pylist() for c in ("word", "freq", "first"))
+            for word, n, first in zip(*columns):
+                for start, longest in ends(word):
+                    for end in range(start + low, min(start + longest, len(word)) + 1):
+                        token = word[start:end]
+                        freq[token] = freq.get(token, 0) + n
+                        if first < met.get(token, first + 1):
+                            met[token] = first
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(list(freq), pa.string()),
+                    pa.array(list(freq.values()), pa.int64()),
+                    pa.array([met[t] for t in freq], pa.int64()),
+                ],
+                names=["token", "freq", "first"],
+            )
+
+    partial = word_types.select("word", "freq", "first").mapInArrow(
+        run, "token string, freq bigint, first bigint"
+    )
+    return partial.groupBy("token").agg(F.sum("freq").alias("freq"), F.min("first").alias("first"))
+
+
+def frequent_substrings(word_types: DataFrame, size: int, max_len: int = tx.MAX_SUBWORD) -> DataFrame:
+    """``(token, freq, first)``: at least the ``size`` most frequent substrings, ties included.
+
+    A substring is never more frequent than its parts, so lengths are counted
+    step by step and those that can no longer reach the top are never built.
+    """
+    found: DataFrame | None = None
+    floor, parts = 1, None
+    for low, high in LENGTH_STEPS:
+        if low > max_len:
+            break
+        high = min(high, max_len)
+        step = cut_lineage(
+            _counted_lengths(word_types, low, high, parts).where(F.col("freq") >= floor)
+        )
+        found = step if found is None else found.unionByName(step)
+        top = found.orderBy(F.desc("freq")).limit(size)
+        n, last = top.agg(F.count(F.lit(1)), F.min("freq")).first()
+        floor = last if n == size else 1
+        longest = step.where((F.length("token") == high) & (F.col("freq") >= floor))
+        if is_small(longest):
+            parts = frozenset(r["token"] for r in longest.select("token").collect())
+            if not parts:
+                break
+        else:
+            # Too many to send around: count the next lengths without leaving any out.
+            parts = None
+    return found.where(F.col("freq") >= floor)
+
+
 def seed_subwords(word_types: DataFrame, size: int, max_len: int = tx.MAX_SUBWORD) -> DataFrame:
     """The ``size`` most frequent substrings: ``(token, freq, logp, seed_rank)``.
 
     Ties go to the substring met first (word, then start, then length).  Only
-    substrings at or above the frequency of the last place are joined back to
-    their first word to settle that order.
+    the candidates for the top are joined back to their first word for that.
     """
-    counts = substring_counts(word_types, max_len)
-    floor = counts.orderBy(F.desc("freq")).limit(size).agg(F.min("freq")).scalar()
+    word_types = cut_lineage(spread(word_types.select("word", "freq", "first")))
+    near_top = frequent_substrings(word_types, size, max_len)
     total = substring_total(word_types, max_len).scalar()
-    near_top = counts.where(F.col("freq") >= floor)
     placed = near_top.join(word_types.select("word", "first"), "first").select(
         "token", "freq", "first", F.instr("word", F.col("token")).alias("at"),
         F.length("token").alias("size"),
@@ -177,8 +259,6 @@ def seed_subwords(word_types: DataFrame, size: int, max_len: int = tx.MAX_SUBWOR
 
 
 def _order(first: str, *rest: str):
-    from pyspark.sql import Window
-
     # At most ``size`` rows reach this window, so one partition is enough.
     return Window.orderBy(F.desc(first), *rest)
 
