@@ -1 +1 @@
-
+"""Registered query plans over the given tables."""
