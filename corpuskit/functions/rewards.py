@@ -20,12 +20,17 @@ CODE_RULES = (
 )
 BOXED_PATTERN = r"\\boxed\{([^}]+)\}"
 ANSWER_MARKERS = ("answer is", "final answer", "result is", "equals")
-ANSWER_PATTERN = rf"(?i){{marker}}[{WS}]*[:=]?[{WS}]*([^\n\.]+)"
+ANSWER_TAIL = rf"[{WS}]*[:=]?[{WS}]*([^\n\.]+)"
 STEP_PATTERN = "step|first|then|therefore"
 OPERATOR_PATTERN = r"[=+\-*/]"
 NO_ANSWER = "Could not extract final answer. Use \\boxed{} or clearly state your answer."
 
 
+def answer_pattern(marker: str) -> str:
+    """The rest of the sentence after a marker, whatever its case."""
+    return f"(?i){marker}{ANSWER_TAIL}"
+
+
 def scored(reward: Column, feedback: Column) -> Column:
     return F.struct(reward.cast("double").alias("reward"), feedback.alias("feedback"))
 
@@ -67,7 +72,7 @@ def extract_answer(response: Column) -> Column:
         strip(F.regexp_extract(response, BOXED_PATTERN, 1)),
     )
     for marker in ANSWER_MARKERS:
-        pattern = ANSWER_PATTERN.format(marker=marker)
+        pattern = answer_pattern(marker)
         answer = answer.when(
             F.rlike(response, F.lit(pattern)), strip(F.regexp_extract(response, pattern, 1))
         )
