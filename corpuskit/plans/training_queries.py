@@ -15,7 +15,7 @@ from corpuskit.operators import tokenizers as tk
 from corpuskit.operators import unigram as ug
 from corpuskit.operators import vocab as vb
 from corpuskit.operators import windows as wn
-from corpuskit.plans.catalog import digest, documents, query, rounded
+from corpuskit.plans.catalog import WORDS, digest, documents, query, rounded
 
 BPE_SIZE, PIECE_SIZE, UNIGRAM_SIZE = 160, 230, 300
 TRAINERS = {
@@ -60,12 +60,17 @@ def decode_query(name):
     return run
 
 
+# Byte-pair keeps white space, so decoding gives the very text back; with marked
+# spaces words come back joined by single blanks.
+ROUND_TRIPS = {
+    "bpe": "select doc_id, md5(text) as text from documents",
+    "sentencepiece_bpe": f"select doc_id, md5(array_to_string({WORDS}, ' ')) as text from documents",
+}
+
 for _name in TRAINERS:
     query(f"{_name}_training")(vocab_query(_name))
     query(f"{_name}_encoded")(encode_query(_name))
-    # Byte-pair keeps white space, so decoding must give the very text back; the marked
-    # form joins words by single blanks.
-    query(f"{_name}_decoded", {"bpe": "select doc_id, md5(text) as text from documents"}.get(_name))(decode_query(_name))
+    query(f"{_name}_decoded", ROUND_TRIPS.get(_name))(decode_query(_name))
 
 
 @query("bpe_merges")
