@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuskit.functions import arrays, text as tx
-from corpuskit.session import cut_lineage, is_small, spread
+from corpuskit.session import cut_lineage, fetch, spread
 
 # A corpus position packed into one BIGINT: document id above, chunk position
 # below.  One integer keeps min() inside the hash aggregate; min(struct) would
@@ -66,8 +66,16 @@ def marked_word_counts(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
 
 
 def letter_word_counts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """Frequencies of lowercased words made of letters only."""
-    return count_tokens(docs, tx.letter_words(F.col(text)), doc_id)
+    """Frequencies of lowercased words made of letters only.
+
+    Words are counted as written; the letter test and the lowercasing then run
+    once per word type instead of once per occurrence.
+    """
+    written = stripped_word_counts(docs, text, doc_id)
+    letters = written.where(F.rlike("word", F.lit(tx.LETTERS_PATTERN)))
+    return letters.groupBy(F.lower("word").alias("word")).agg(
+        F.sum("freq").alias("freq"), F.min("first").alias("first")
+    )
 
 
 def split_characters(counts: DataFrame) -> DataFrame:
@@ -228,13 +236,11 @@ def frequent_substrings(word_types: DataFrame, size: int, max_len: int = tx.MAX_
         n, last = top.agg(F.count(F.lit(1)), F.min("freq")).first()
         floor = last if n == size else 1
         longest = step.where((F.length("token") == high) & (F.col("freq") >= floor))
-        if is_small(longest):
-            parts = frozenset(r["token"] for r in longest.select("token").collect())
-            if not parts:
-                break
-        else:
-            # Too many to send around: count the next lengths without leaving any out.
-            parts = None
+        held = fetch(longest.select("token"))
+        # Too many to send around: count the next lengths without leaving any out.
+        parts = None if held is None else frozenset(held.column("token").to_pylist())
+        if held is not None and not parts:
+            break
     return found.where(F.col("freq") >= floor)
 
 

@@ -2,35 +2,36 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuskit.config import SPECIAL_TOKENS, UNK_TOKEN
 from corpuskit.functions import arrays, subwords, text as tx, vectors
 from corpuskit.operators.counts import token_rows
 from corpuskit.operators.lookup import lookup_join
-from corpuskit.session import BROADCAST_ROWS, is_small
+from corpuskit.session import BROADCAST_ROWS, fetch
 
 
-def id_lookup(vocab: DataFrame, unk_id: int = 1) -> Callable[[Column], Column]:
-    """A column function ``array<string> -> array<int>`` holding the vocabulary as a broadcast.
+def id_lookup(vocab: pa.Table, unk_id: int = 1) -> Callable[[Column], Column]:
+    """A column function ``array<string> -> array<int>`` over a vocabulary on the driver.
 
-    The caller must have checked the size (see :func:`encode_tokens`).
+    The table comes from :func:`corpuskit.session.fetch`, which checks its size.
     """
-    table = vocab.select("token", "id").toArrow().combine_chunks()
-    shared = vocab.sparkSession.sparkContext.broadcast(
-        (table.column("token").to_pylist(), table.column("id").to_numpy())
+    spark = SparkSession.active()
+    shared = spark.sparkContext.broadcast(
+        (vocab.column("token").to_pylist(), vocab.column("id").to_numpy())
     )
 
     @F.arrow_udf("array<int>")
-    def lookup(tokens: pa.Array) -> pa.Array:
-        known, ids = shared.value
-        return subwords.lookup_lists(tokens, pa.array(known, tokens.type.value_type), ids, unk_id)
+    def lookup(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known, ids = pa.array(shared.value[0], pa.string()), shared.value[1]
+        for tokens in batches:
+            yield subwords.lookup_lists(tokens, known, ids, unk_id)
 
     return lookup
 
@@ -48,18 +49,21 @@ def encode_tokens(
     A vocabulary of at most ``limit`` rows travels to the tasks and documents
     are encoded in place, without a shuffle.  A larger one is joined by token.
     """
-    if is_small(vocab, limit):
-        ids = id_lookup(vocab, unk_id)(tokens)
+    held = fetch(vocab.select("token", "id"), limit)
+    if held is not None:
+        ids = id_lookup(held, unk_id)(tokens)
         return docs.select(F.col(doc_id).alias("doc_id"), ids.alias("input_ids"))
-    rows = token_ids(token_rows(docs, tokens, doc_id), vocab, unk_id)
+    rows = token_ids(token_rows(docs, tokens, doc_id), vocab, unk_id, limit)
     return docs.select(F.col(doc_id).alias("doc_id")).join(
         collect_in_order(rows, "id", "input_ids"), "doc_id", "left"
     ).withColumn("input_ids", F.coalesce("input_ids", F.array().cast("array<int>")))
 
 
-def token_ids(rows: DataFrame, vocab: DataFrame, unk_id: int = 1) -> DataFrame:
+def token_ids(
+    rows: DataFrame, vocab: DataFrame, unk_id: int = 1, limit: int = BROADCAST_ROWS
+) -> DataFrame:
     """Add ``id`` to token rows; tokens outside the vocabulary get ``unk_id``."""
-    found = lookup_join(rows, vocab.select("token", "id"), "token")
+    found = lookup_join(rows, vocab.select("token", "id"), "token", limit=limit)
     return found.withColumn("id", F.coalesce("id", F.lit(unk_id)))
 
 
@@ -90,19 +94,21 @@ def pad_batches(
     )
 
 
-def token_lookup(vocab: DataFrame, unknown: str = UNK_TOKEN) -> Callable[[Column], Column]:
-    """A column function ``array<int> -> array<string>`` (``vocab`` size checked by the caller)."""
-    table = vocab.select("id", "token").toArrow().combine_chunks()
-    shared = vocab.sparkSession.sparkContext.broadcast(
-        (table.column("id").to_pylist(), table.column("token").to_pylist())
+def token_lookup(vocab: pa.Table, unknown: str = UNK_TOKEN) -> Callable[[Column], Column]:
+    """A column function ``array<int> -> array<string>``, the other way round."""
+    spark = SparkSession.active()
+    shared = spark.sparkContext.broadcast(
+        (vocab.column("id").to_pylist(), vocab.column("token").to_pylist())
     )
 
     @F.arrow_udf("array<string>")
-    def lookup(ids: pa.Array) -> pa.Array:
-        known, tokens = shared.value
-        at = pc.index_in(ids.flatten(), value_set=pa.array(known, ids.type.value_type))
-        found = pc.fill_null(pa.array(tokens, pa.string()).take(at), unknown)
-        return subwords.as_lists(found, subwords.list_lengths(ids))
+    def lookup(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known = pa.array(shared.value[0], pa.int32())
+        tokens = pa.array(shared.value[1], pa.string())
+        for ids in batches:
+            at = pc.index_in(ids.flatten(), value_set=known)
+            found = pc.fill_null(tokens.take(at), unknown)
+            yield subwords.as_lists(found, subwords.list_lengths(ids))
 
     return lookup
 
@@ -117,12 +123,13 @@ def ids_to_tokens(
     limit: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """``(doc_id, tokens)``; special tokens named in ``skip`` are dropped."""
-    if is_small(vocab, limit):
-        tokens = token_lookup(vocab, unknown)(F.col(ids))
+    held = fetch(vocab.select("id", "token"), limit)
+    if held is not None:
+        tokens = token_lookup(held, unknown)(F.col(ids))
         out = encoded.select(doc_id, tokens.alias("tokens"))
     else:
         rows = encoded.select(doc_id, F.posexplode(ids).alias("pos", "id"))
-        named = lookup_join(rows, vocab.select("id", "token"), "id").withColumn(
+        named = lookup_join(rows, vocab.select("id", "token"), "id", limit=limit).withColumn(
             "token", F.coalesce("token", F.lit(unknown))
         )
         out = encoded.select(doc_id).join(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuskit.session import BROADCAST_ROWS, is_small
+from corpuskit.session import BROADCAST_ROWS, cut_lineage, is_small
 
 
 def lookup_join(
@@ -17,19 +17,34 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``rows`` to the unique-key ``table`` on ``key`` (``left``, ``inner`` or ``left_semi``).
 
-    Beyond ``limit`` rows the table is shuffled.  A key that holds more than
-    1/P of all rows (P shuffle partitions) would swamp a task, so the at most
-    P such keys are looked up by a broadcast and the rest by the shuffle join.
+    The table is settled first, so checking its size does not compute it twice.
     """
+    table = cut_lineage(table)
     if is_small(table, limit):
         return rows.join(F.broadcast(table), key, how)
+    return salted_join(rows, table, key, how)
+
+
+def salted_join(rows: DataFrame, table: DataFrame, key: str, how: str = "left") -> DataFrame:
+    """Shuffle join in which no key outgrows a task.
+
+    With P shuffle partitions at most P keys can hold more than 1/P of the rows.
+    Their rows are dealt to several copies of the table row, in proportion to
+    their share; all other keys stay as they are.
+    """
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     fair_share = counts.agg(F.sum("_n") / parts).scalar()
-    hot = counts.where(F.col("_n") > fair_share).select(key)  # at most ``parts`` keys
-    hot_table = table.join(F.broadcast(hot), key, "left_semi")
-    hot_rows = rows.join(F.broadcast(hot), key, "left_semi")
-    cold_rows = rows.join(F.broadcast(hot), key, "left_anti")
-    return hot_rows.join(F.broadcast(hot_table), key, how).unionByName(
-        cold_rows.join(table, key, how)
+    copies = F.ceil(F.col("_n") / fair_share).cast("int")
+    hot = cut_lineage(
+        counts.where(F.col("_n") > fair_share).select(key, copies.alias("_copies"))
+    )
+    dealt = F.pmod(F.xxhash64(*rows.columns), F.coalesce("_copies", F.lit(1)))
+    salted_rows = rows.join(F.broadcast(hot), key, "left").withColumn("_salt", dealt).drop("_copies")
+    last = F.coalesce("_copies", F.lit(1)).cast("bigint") - 1
+    salted_table = (
+        table.join(F.broadcast(hot), key, "left")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+        .drop("_copies")
     )
+    return salted_rows.join(salted_table, [key, "_salt"], how).drop("_salt")

@@ -231,13 +231,12 @@ class MergeTrainer:
         # The corpus is read and split once.
         word_types = cut_lineage(counts.select("word", "freq", "first"))
         word_types = word_types.withColumn("tokens", split(F.col("word")))
-        alphabet = symbol_vocab(ct.distinct_symbols(word_types), special)
         # At most one entry per code point (twice that with a prefix): a bounded table.
-        entries = alphabet.orderBy("id").collect()
-        tokens = [r["token"] for r in entries]
+        alphabet = symbol_vocab(ct.distinct_symbols(word_types), special).orderBy("id").toArrow()
+        tokens = alphabet.column("token").to_pylist()
         self.symbols = Symbols(
             tokens,
-            [0 if r["is_special"] else 1 for r in entries],
+            [0 if special_ else 1 for special_ in alphabet.column("is_special").to_pylist()],
             {t: i for i, t in enumerate(tokens)},
             prefix,
         )

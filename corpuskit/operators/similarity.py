@@ -22,7 +22,7 @@ MEDIAN_ROWS = 1_000_000
 
 def as_matrix(lists: pa.Array) -> np.ndarray:
     flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(lists), -1)
+    return flat.reshape(len(lists), -1 if len(lists) else 0)
 
 
 def unit_rows(m: np.ndarray, floor: float) -> np.ndarray:

@@ -15,7 +15,7 @@ from corpuskit.operators import counts as ct
 from corpuskit.operators import encode as en
 from corpuskit.operators import unigram as ug
 from corpuskit.operators.merge_training import learn_merges
-from corpuskit.session import BROADCAST_ROWS, is_small
+from corpuskit.session import BROADCAST_ROWS, cut_lineage, fetch
 
 KINDS = ("bpe", "wordpiece", "unigram", "sentencepiece-bpe", "sentencepiece-unigram")
 
@@ -58,17 +58,18 @@ class Tokenizer:
         return tx.words(text)
 
     def _model(self):
-        def checked(table: DataFrame, *columns: str) -> list:
-            if not is_small(table, BROADCAST_ROWS):
+        def checked(table: DataFrame, *columns: str) -> list[list]:
+            held = fetch(table.select(*columns))
+            if held is None:
                 raise ValueError(f"a tokenizer table may hold at most {BROADCAST_ROWS} rows")
-            return table.select(*columns).collect()
+            return [held.column(c).to_pylist() for c in columns]
 
         if self.kind.endswith("bpe"):
-            rows = checked(self.merges, "left", "right", "rank")
-            return {(left, right): rank for left, right, rank in rows}
+            left, right, rank = checked(self.merges, "left", "right", "rank")
+            return dict(zip(zip(left, right), rank))
         if self.kind == "wordpiece":
-            return frozenset(r["token"] for r in checked(self.vocab, "token"))
-        return {r["token"]: r["logp"] for r in checked(self.unigram, "token", "logp")}
+            return frozenset(*checked(self.vocab, "token"))
+        return dict(zip(*checked(self.unigram, "token", "logp")))
 
     def segmenter(self):
         """A column function ``array<string> -> array<string>``: words to subwords."""
@@ -114,7 +115,10 @@ class Tokenizer:
     def ids(self, text: Column, add_special: bool = False, max_length: int | None = None) -> Column:
         """The same as a column, for streams."""
         first, last = self.marker_ids if add_special else (None, None)
-        found = en.id_lookup(self.vocab)(self.tokens(text))
+        held = fetch(self.vocab.select("token", "id"))
+        if held is None:
+            raise ValueError(f"a tokenizer table may hold at most {BROADCAST_ROWS} rows")
+        found = en.id_lookup(held)(self.tokens(text))
         return arrays.finish_ids(found, max_length, False, first, last)
 
     def encode_batches(
@@ -126,12 +130,16 @@ class Tokenizer:
         max_length: int | None = None,
         add_special: bool = False,
     ) -> DataFrame:
-        """``(batch, doc_id, input_ids, attention_mask)``, padded per batch."""
+        """``(batch, doc_id, input_ids, attention_mask)``, padded per batch.
+
+        The ids are written once: both the longest row of a batch and the
+        padding read them, and segmenting twice would cost more.
+        """
         encoded = docs.select(
             F.col(batch), F.col(doc_id).alias("doc_id"),
             self.ids(F.col(text), add_special, max_length).alias("input_ids"),
         )
-        return en.pad_batches(encoded, batch, max_length)
+        return en.pad_batches(cut_lineage(encoded), batch, max_length)
 
     @property
     def style(self) -> str:

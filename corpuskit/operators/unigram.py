@@ -14,7 +14,7 @@ from corpuskit.functions import text as tx
 from corpuskit.functions.subwords import UNKNOWN_LOGP, best_path, unigram_segmenter, word_edges
 from corpuskit.operators import counts as ct
 from corpuskit.operators.vocab import symbol_vocab
-from corpuskit.session import BROADCAST_ROWS, cut_lineage, is_small, spread
+from corpuskit.session import BROADCAST_ROWS, cut_lineage, fetch, spread
 
 SEED_FACTOR = 10
 PRUNE_RATIO = 0.2
@@ -22,9 +22,10 @@ PRUNE_RATIO = 0.2
 
 def model_dict(unigram: DataFrame) -> dict[str, float]:
     """The model on the driver.  Its size is set by the asked vocabulary and checked here."""
-    if not is_small(unigram, BROADCAST_ROWS):
+    held = fetch(unigram.select("token", "logp"))
+    if held is None:
         raise ValueError(f"a unigram model may hold at most {BROADCAST_ROWS} tokens")
-    return {r["token"]: r["logp"] for r in unigram.select("token", "logp").collect()}
+    return dict(zip(held.column("token").to_pylist(), held.column("logp").to_pylist()))
 
 
 def path_loss(tokens: list[str], logp: dict[str, float]) -> float:

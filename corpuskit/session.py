@@ -6,6 +6,7 @@ import shutil
 import tempfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,6 +67,10 @@ def is_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
     return df.select(F.lit(1)).limit(limit + 1).count() <= limit
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after checking the size; otherwise leave the join to AQE."""
-    return F.broadcast(df) if is_small(df, limit) else df
+def fetch(df: DataFrame, limit: int = BROADCAST_ROWS) -> pa.Table | None:
+    """The rows of ``df`` on the driver, or None when there are more than ``limit``.
+
+    One evaluation serves both as the size check and as the data to send around.
+    """
+    table = df.limit(limit + 1).toArrow()
+    return table if table.num_rows <= limit else None

@@ -5,19 +5,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpuskit.operators.vocab import dense_ids
 from corpuskit.session import spread
 
 
 def read_text(spark: SparkSession, path: str) -> DataFrame:
     """Text files, one row per file: ``(doc_id, text)``; ids follow the file name."""
-    from corpuskit.operators.vocab import dense_ids
-
     files = spark.read.text(path, wholetext=True).select(
         F.input_file_name().alias("path"), F.col("value").alias("text")
     )
     return dense_ids(files, "path", id_type="bigint").select(F.col("id").alias("doc_id"), "text")
 
 
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Text files, one row per line, for files too large for one row: ``(doc_id, text)``."""
+    lines = spark.read.text(path).select(
+        F.input_file_name().alias("path"), F.monotonically_increasing_id().alias("at"),
+        F.col("value").alias("text"),
+    )
+    ordered = lines.withColumn("_order", F.struct("path", "at"))
+    numbered = dense_ids(ordered, "_order", id_type="bigint")
+    return numbered.select(F.col("id").alias("doc_id"), "text")
+
+
 def read_documents(spark: SparkSession, path: str, *columns: str) -> DataFrame:
     """Parquet documents; only the asked columns are scanned."""
     return spread(spark.read.parquet(path).select(*(columns or ("doc_id", "text"))))
@@ -46,8 +56,6 @@ def hashed_batches(df: DataFrame, n_batches: int, *keys: str, seed: int = 0) ->
 
 def exact_batches(df: DataFrame, batch_size: int, *keys: str, seed: int = 0) -> DataFrame:
     """Add ``batch_id`` and ``slot`` after a shuffle, every batch but the last one full."""
-    from corpuskit.operators.vocab import dense_ids
-
     order = F.struct(shuffle_key(*[F.col(k) for k in keys], seed=seed), *keys)
     numbered = dense_ids(df.withColumn("_order", order), "_order", id_type="bigint")
     return (
