@@ -201,9 +201,10 @@ class PairTiles:
         metric = self.metric
 
         def tile(key: tuple, a: pa.Table, b: pa.Table) -> pa.Table:
+            if not a.num_rows or not b.num_rows:  # a group that got no rows
+                nobody = np.empty(0, np.int64)
+                return function(np.empty((0, 0)), nobody, nobody, np.empty((0, 0), bool))
             ids_a, ids_b = (t.column("id").to_numpy() for t in (a, b))
-            if not len(ids_a) or not len(ids_b):
-                return function(np.empty((0, 0)), ids_a[:0], ids_b[:0], np.empty((0, 0), bool))
             values = metric(*(as_matrix(t.column("vec").combine_chunks()) for t in (a, b)))
             used = np.ones(values.shape, bool)
             if key[0].as_py() == key[1].as_py():
