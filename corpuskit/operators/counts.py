@@ -168,9 +168,21 @@ def substring_counts(word_types: DataFrame, max_len: int = tx.MAX_SUBWORD) -> Da
 
 # Substring lengths counted together; a longer one is only counted where all its
 # parts of the longest length counted before are still in the running.
+HELD_SUBSTRINGS = 500_000  # counted in a task before they go to the shuffle
 LENGTH_STEPS = ((1, 3), (4, 5), (6, 8), (9, 16))
 
 
+def substring_record(freq: dict[str, int], met: dict[str, int]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(list(freq), pa.string()),
+            pa.array(list(freq.values()), pa.int64()),
+            pa.array([met[t] for t in freq], pa.int64()),
+        ],
+        names=["token", "freq", "first"],
+    )
+
+
 def _counted_lengths(
     word_types: DataFrame, low: int, high: int, parts: frozenset[str] | None
 ) -> DataFrame:
@@ -190,9 +202,9 @@ def _counted_lengths(
             yield start, min(reach, high)
 
     def run(data: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        freq: dict[str, int] = {}
+        met: dict[str, int] = {}
         for batch in data:
-            freq: dict[str, int] = {}
-            met: dict[str, int] = {}
             columns = (batch.column(c).to_pylist() for c in ("word", "freq", "first"))
             for word, n, first in zip(*columns):
                 for start, longest in ends(word):
@@ -201,14 +213,10 @@ def _counted_lengths(
                         freq[token] = freq.get(token, 0) + n
                         if first < met.get(token, first + 1):
                             met[token] = first
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(list(freq), pa.string()),
-                    pa.array(list(freq.values()), pa.int64()),
-                    pa.array([met[t] for t in freq], pa.int64()),
-                ],
-                names=["token", "freq", "first"],
-            )
+                if len(freq) > HELD_SUBSTRINGS:
+                    yield substring_record(freq, met)
+                    freq, met = {}, {}
+        yield substring_record(freq, met)
 
     partial = word_types.select("word", "freq", "first").mapInArrow(
         run, "token string, freq bigint, first bigint"
@@ -281,7 +289,10 @@ def token_stats(docs: DataFrame, tokens: Column, text: str = "text", by: str | N
         F.count(F.lit(1)).alias("n_distinct"),
         F.sum(F.length("token") * F.col("n")).alias("token_chars"),
     )
-    joined = lengths.join(stats, keys, "left") if keys else lengths.join(stats, F.lit(True), "left")
+    if keys:
+        joined = lengths.join(stats, keys, "left")
+    else:  # two single rows
+        joined = lengths.withColumns({c: stats.select(c).scalar() for c in stats.columns})
     n = F.coalesce("n_tokens", F.lit(0))
     return joined.select(
         *keys,

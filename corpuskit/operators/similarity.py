@@ -195,8 +195,10 @@ class PairTiles:
         left = self.rows.select(
             F.col("g").alias("lo"), F.explode(F.sequence("g", F.lit(last))).alias("hi"), "id", "vec"
         )
+        # The two sides must not share column names: Spark would prune them as one.
         right = self.rows.select(
-            F.explode(F.sequence(F.lit(0), "g")).alias("lo"), F.col("g").alias("hi"), "id", "vec"
+            F.explode(F.sequence(F.lit(0), "g")).alias("lo"), F.col("g").alias("hi"),
+            F.col("id").alias("other_id"), F.col("vec").alias("other_vec"),
         )
         metric = self.metric
 
@@ -204,8 +206,11 @@ class PairTiles:
             if not a.num_rows or not b.num_rows:  # a group that got no rows
                 nobody = np.empty(0, np.int64)
                 return function(np.empty((0, 0)), nobody, nobody, np.empty((0, 0), bool))
-            ids_a, ids_b = (t.column("id").to_numpy() for t in (a, b))
-            values = metric(*(as_matrix(t.column("vec").combine_chunks()) for t in (a, b)))
+            ids_a, ids_b = a.column("id").to_numpy(), b.column("other_id").to_numpy()
+            values = metric(
+                as_matrix(a.column("vec").combine_chunks()),
+                as_matrix(b.column("other_vec").combine_chunks()),
+            )
             used = np.ones(values.shape, bool)
             if key[0].as_py() == key[1].as_py():
                 used = ids_a[:, None] < ids_b[None, :]
@@ -367,14 +372,16 @@ def compare_kinds(embeddings: DataFrame) -> DataFrame:
 
     Different one-hot vectors are orthogonal, so their figures follow from the ids.
     """
-    stats = distribution(embeddings).select("mean", "std")
+    stats = distribution(embeddings).first()
     vec = vc.as_double(F.col("vec"))
     sizes = embeddings.agg(
         F.max(F.size("vec")).alias("dim"),
         (F.sum(F.size(F.filter(vec, lambda x: x == 0))) / F.sum(F.size("vec"))).alias("zero_share"),
     )
-    dense = sizes.join(F.broadcast(stats), F.lit(True)).select(
-        F.lit("dense").alias("kind"), F.col("dim").cast("bigint").alias("dim"), "mean", "std", "zero_share"
+    dense = sizes.select(
+        F.lit("dense").alias("kind"), F.col("dim").cast("bigint").alias("dim"),
+        F.lit(stats["mean"]).cast("double").alias("mean"),
+        F.lit(stats["std"]).cast("double").alias("std"), "zero_share",
     )
     n = F.col("n")
     per_id = embeddings.groupBy("id").agg(F.count(F.lit(1)).alias("copies"))

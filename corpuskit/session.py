@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import shutil
+import io
 import tempfile
+import zipfile
 from pathlib import Path
 
 import pyarrow as pa
@@ -15,16 +16,26 @@ BROADCAST_ROWS = 1_000_000
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors, once per Spark context."""
+    """Send this package to the executors, once per Spark context.
+
+    The archive goes to the shared folder, where every executor can fetch it.
+    Unneeded where the package is installed on the executors, but harmless.
+    """
     sc = spark.sparkContext
     if getattr(sc, "_corpuskit_shipped", False):
         return
     root = Path(__file__).resolve().parent
-    archive = shutil.make_archive(
-        str(Path(tempfile.mkdtemp(prefix="corpuskit-package-")) / "corpuskit"),
-        "zip", root.parent, root.name,
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as archive:
+        for file in sorted(root.rglob("*.py")):
+            archive.write(file, file.relative_to(root.parent))
+    path = sc._jvm.org.apache.hadoop.fs.Path(
+        f"{checkpoint_dir(spark)}/corpuskit-{sc.applicationId}.zip"
     )
-    sc.addPyFile(archive)
+    out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path, True)
+    out.write(data.getvalue())
+    out.close()
+    sc.addPyFile(path.toString())
     sc._corpuskit_shipped = True
 
 

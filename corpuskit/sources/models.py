@@ -54,13 +54,13 @@ def to_json(model: Tokenizer) -> DataFrame:
             unsafe, F.raise_error(F.lit("a merged token holds |, use write_tables"))
         ).otherwise(F.concat("left", F.lit(PAIR_MARK), "right"))
         merges = _as_map(model.merges, key, F.col("merged"), "rank")
-        row = row.join(F.broadcast(merges.select(F.col("m").alias("merges"))), F.lit(True))
+        row = row.withColumn("merges", merges.scalar())
     else:
         row = row.withColumn("merges", F.create_map().cast("map<string,string>"))
     if model.kind.endswith("unigram"):
         ordered = model.unigram.withColumn("_o", F.col("token"))
         probs = _as_map(ordered, F.col("token"), F.col("logp"), "_o")
-        row = row.join(F.broadcast(probs.select(F.col("m").alias("vocab_probs"))), F.lit(True))
+        row = row.withColumn("vocab_probs", probs.scalar())
     return row.select(F.to_json(F.struct("*")).alias("value"))
 
 
