@@ -79,24 +79,32 @@ def word_edges(word: str, logp: dict[str, float]) -> list[list[tuple[int, float,
     ]
 
 
-def best_path(
-    edges: list[list[tuple[int, float, str]]], without: str | None = None
-) -> list[str] | None:
-    """Most likely segmentation, or None when no path reaches the end.
+Reach = list[tuple[float, int, str]]  # per position: best score, where its last piece starts, the piece
 
-    On equal scores the longer last piece stays.
+
+def best_reach(
+    edges: list[list[tuple[int, float, str]]], without: str | None = None, known: Reach | None = None
+) -> Reach:
+    """Best way to every position; on equal scores the longer last piece stays.
+
+    ``known`` gives the first positions when they were worked out before.
     """
-    reach: list[tuple[float, int, str]] = [(0.0, 0, "")]
-    for arriving in edges:
+    reach = known or [(0.0, 0, "")]
+    for arriving in edges[len(reach) - 1 :]:
         best = (-math.inf, -1, "")
         for start, gain, piece in arriving:
             score = reach[start][0] + gain
             if score > best[0] and piece != without:
                 best = (score, start, piece)
         reach.append(best)
+    return reach
+
+
+def best_path(reach: Reach) -> list[str] | None:
+    """The pieces of the best way to the end, or None when no way leads there."""
     if reach[-1][1] < 0:
         return None
-    at, path = len(edges), []
+    at, path = len(reach) - 1, []
     while at > 0:
         _, at, piece = reach[at]
         path.append(piece)
@@ -107,7 +115,7 @@ def unigram_segmenter(logp: dict[str, float]) -> Segmenter:
     """Best path; a word no path covers falls back to characters."""
 
     def segment(word: str) -> list[str]:
-        path = best_path(word_edges(word, logp))
+        path = best_path(best_reach(word_edges(word, logp)))
         return [c if c in logp else UNK_TOKEN for c in word] if path is None else path
 
     return segment

@@ -258,7 +258,7 @@ def seed_subwords(word_types: DataFrame, size: int, max_len: int = tx.MAX_SUBWOR
     Ties go to the substring met first (word, then start, then length).  Only
     the candidates for the top are joined back to their first word for that.
     """
-    word_types = cut_lineage(spread(word_types.select("word", "freq", "first")))
+    word_types = spread(cut_lineage(word_types.select("word", "freq", "first")))
     near_top = frequent_substrings(word_types, size, max_len)
     total = substring_total(word_types, max_len).scalar()
     placed = near_top.join(word_types.select("word", "first"), "first").select(

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from corpuskit.config import SPECIAL_TOKENS
 from corpuskit.functions import text as tx
-from corpuskit.functions.subwords import UNKNOWN_LOGP, best_path, unigram_segmenter, word_edges
+from corpuskit.functions.subwords import (
+    UNKNOWN_LOGP, best_path, best_reach, unigram_segmenter, word_edges,
+)
 from corpuskit.operators import counts as ct
 from corpuskit.operators.vocab import symbol_vocab
 from corpuskit.session import BROADCAST_ROWS, cut_lineage, fetch, spread
@@ -65,14 +67,16 @@ def token_importance(word_types: DataFrame, logp: dict[str, float]) -> DataFrame
             gains: dict[str, list[float]] = {}
             for word, freq in zip(*(batch.column(c).to_pylist() for c in ("word", "freq"))):
                 edges = word_edges(word, model)
-                path = best_path(edges)
+                reach = best_reach(edges)
+                path = best_path(reach)
                 if path is None:
                     continue  # already spelled in characters: no single token matters
-                loss = path_loss(path, model)
                 for token in {t for t in path if len(t) > 1}:
-                    other = best_path(edges, without=token)
-                    spelled = list(word) if other is None else other
-                    gains.setdefault(token, []).append(freq * (path_loss(spelled, model) - loss))
+                    # Nothing changes before the token first ends.
+                    same = reach[: word.find(token) + len(token)]
+                    score, start, _ = best_reach(edges, token, same)[-1]
+                    left = -path_loss(list(word), model) if start < 0 else score
+                    gains.setdefault(token, []).append(freq * (reach[-1][0] - left))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(list(gains), pa.string()),
@@ -137,12 +141,12 @@ def train(
     seed_factor: int = SEED_FACTOR,
 ) -> tuple[DataFrame, DataFrame]:
     """``(vocab, unigram)`` from word counts; seeds are drawn from ``seed_types``."""
-    word_types = cut_lineage(spread(word_types.select("word", "freq", "first"))).persist()
-    seeds = cut_lineage(
-        ct.seed_subwords(seed_types, vocab_size * seed_factor).where(
-            ~F.col("token").isin(list(special))
-        )
+    settled = spread(cut_lineage(word_types.select("word", "freq", "first"))).persist()
+    seeds = ct.seed_subwords(
+        settled if seed_types is word_types else seed_types, vocab_size * seed_factor
     )
+    seeds = cut_lineage(seeds.where(~F.col("token").isin(list(special))))
+    word_types = settled
     unigram = prune(word_types, seeds, vocab_size, special, PRUNE_RATIO)
     word_types.unpersist()
     # The model has at most ``vocab_size * seed_factor`` rows: one sorted partition is enough.

@@ -24,10 +24,13 @@ def duck():
 
 def comparable(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
-    return sorted(
-        tuple("~" if r[i] is None else round(float(r[i]), 6) + 0.0 if isinstance(r[i], (int, float)) and not isinstance(r[i], bool) else str(r[i]) for i in order)
-        for r in rows
-    )
+
+    def plain(value):
+        if value is None or isinstance(value, (str, bool)):
+            return value
+        return round(float(value), 6) + 0.0
+
+    return sorted((tuple(plain(r[i]) for i in order) for r in rows), key=repr)
 
 
 @pytest.mark.parametrize("name", sorted(catalog.oracle_sql()))
