@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuskit.llm import simhash
+from corpuskit.llm import packing, simhash, token_files
 from corpuskit.plans.catalog import query
 
 
@@ -18,3 +18,13 @@ def simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash.near_duplicates(read(spark, sf_dir, "documents"))
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
     return rows.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+@query("op9_packed_sequences")
+def packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(read(spark, sf_dir, "documents"))
+
+
+@query("op10_token_files")
+def token_file_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(read(spark, sf_dir, "documents"))
