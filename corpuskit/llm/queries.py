@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuskit.llm import packing, simhash, token_files
+from corpuskit.llm import language, packing, simhash, token_files
 from corpuskit.plans.catalog import query
 
 
@@ -13,6 +13,15 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op4_language_id")
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = F.crc32(F.col("doc_id").cast("string")) % 4
+    docs = read(spark, sf_dir, "documents")
+    trees = language.learn(docs.where(rest != 2))
+    rows = language.predicted(docs.select("doc_id", "text"), trees)
+    return rows.select("doc_id", F.coalesce(rest == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 @query("op8_simhash_dedup")
 def simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash.near_duplicates(read(spark, sf_dir, "documents"))
