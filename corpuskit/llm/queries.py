@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuskit.llm import language, packing, simhash, token_files
+from corpuskit.llm import language, packing, quality, simhash, token_files
 from corpuskit.plans.catalog import query
 
 
@@ -22,6 +22,13 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.coalesce(rest == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+@query("op5_quality_grade")
+def quality_grade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.learn(docs, quality.grades_of(read(spark, sf_dir, "labels")))
+    return quality.graded(docs, model).drop("text")
+
+
 @query("op8_simhash_dedup")
 def simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash.near_duplicates(read(spark, sf_dir, "documents"))
