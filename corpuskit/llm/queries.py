@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuskit.llm import language, packing, quality, simhash, token_files
+from corpuskit.llm import language, licences, packing, quality, simhash, token_files
 from corpuskit.plans.catalog import query
 
 
@@ -29,6 +29,28 @@ def quality_grade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.graded(docs, model).drop("text")
 
 
+def joined(labels: Column) -> Column:
+    return F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+
+
+@query("op6_license_scan")
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = licences.scan(read(spark, sf_dir, "documents"))
+    starts, found = F.col("base.start"), F.col("base.label")
+    named = F.when(F.size("base") > 0, 1.0).otherwise(0.0)
+    return rows.select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("bigint").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        joined(found).alias("base_labels"),
+        joined(F.concat(found, F.col("spans.label"))).alias("labels"),
+        F.greatest(named, F.coalesce(F.array_max("spans.share"), F.lit(0.0))).alias("score"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+    )
+
+
 @query("op8_simhash_dedup")
 def simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash.near_duplicates(read(spark, sf_dir, "documents"))
