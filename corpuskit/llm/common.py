@@ -48,21 +48,23 @@ def starts_of(table: pa.Table, keys: list[str]) -> np.ndarray:
 def bounded_cells(members: DataFrame, keys: list[str], most: int) -> DataFrame:
     """Split large groups so that every pair of their rows still meets in one cell.
 
-    ``members`` gets ``_a`` and ``_b``.  A group of at most ``most`` rows is the
-    cell (0, 0).  A larger one is dealt to c = ceil(n / most) chunks by a hash of
-    the whole row, and each row goes to the c cells that hold its chunk, so a cell
-    has about 2 * ``most`` rows however large the group is.
+    ``members`` gets ``_a`` and ``_b``, the cell, and ``_own``, the row's chunk.  A
+    group of at most ``most`` rows is the cell (0, 0).  A larger one is dealt to
+    c = ceil(n / most) chunks by a hash of the whole row, and each row goes to the c
+    cells that hold its chunk, so a cell has about 2 * ``most`` rows however large
+    the group is.  Two rows of one chunk meet in all of its cells; those of two
+    chunks in one.
     """
     large = members.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > most)
     large = cut_lineage(large.withColumn("_c", F.ceil(F.col("_n") / most).cast("int")).drop("_n"))
     if large.isEmpty():
-        return members.withColumns({"_a": F.lit(0), "_b": F.lit(0)})
+        return members.withColumns({"_a": F.lit(0), "_b": F.lit(0), "_own": F.lit(0)})
     own = F.pmod(F.xxhash64(*members.columns), F.col("_c")).cast("int")
     split = members.join(large, keys, "left").withColumn("_c", F.coalesce("_c", F.lit(1))).withColumn("_own", own)
     return (
         split.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_c") - 1)))
         .withColumns({"_a": F.least("_own", "_other"), "_b": F.greatest("_own", "_other")})
-        .drop("_c", "_own", "_other")
+        .drop("_c", "_other")
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuskit.llm import language, licences, packing, quality, simhash, token_files
+from corpuskit.llm import binary_codes, language, licences, packing, quality, simhash, threshold_search, token_files
 from corpuskit.plans.catalog import query
 
 
@@ -13,6 +13,36 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+DEDUP_SQL = """
+with recursive v as (select vec_id, cast(embedding as double[]) as e from embeddings),
+l as (select a.vec_id as u, b.vec_id as w from v a join v b on a.vec_id <> b.vec_id
+  where list_cosine_similarity(a.e, b.e) >= 0.95),
+r(u, w) as (select vec_id, vec_id from v union select r.u, l.w from r join l on r.w = l.u),
+c as (select u as vec_id, min(w) as component_id from r group by u)
+select c.vec_id, (select count(*) from l where l.u = c.vec_id) as n_links, component_id, c.vec_id = component_id as kept
+from c
+"""
+
+
+@query("op2_itq_dedup", DEDUP_SQL)
+def itq_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return binary_codes.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
+TOP_SQL = """
+with v as (select vec_id, list_transform(embedding, lambda x: floor(1024 * cast(x as double))) as e from embeddings),
+s as (select a.vec_id as query_id, b.vec_id, cast(list_dot_product(a.e, b.e) as bigint) as score
+  from v a join v b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0),
+t as (select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from s)
+select query_id, rank, vec_id, score from t where rank <= 10
+"""
+
+
+@query("op3_threshold_topk", TOP_SQL)
+def threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return threshold_search.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 @query("op4_language_id")
 def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     rest = F.crc32(F.col("doc_id").cast("string")) % 4
