@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuskit.llm import binary_codes, language, licences, packing, quality, simhash, threshold_search, token_files
+from corpuskit.llm import binary_codes, language, licences, packing, perspectives, quality, simhash, threshold_search, token_files
 from corpuskit.plans.catalog import query
 
 
@@ -81,6 +81,44 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+CHAT_SQL = r"""
+with said as (select conv_id, turn, coalesce(nullif(trim(role), ''), 'unknown') as speaker, coalesce(text, '') as text from conversations),
+people as (select distinct conv_id, speaker as perspective from said where speaker <> 'system'),
+heads as (select conv_id, turn, speaker, perspective, speaker = perspective as own, text,
+    case when speaker = 'system' then '<|system|>' when speaker = perspective then '<|assistant|>'
+      else '<|user name=' || regexp_replace(speaker, '[^\p{L}\p{N}_.-]', '_', 'g') || '|>' end || chr(10) as header
+  from said join people using (conv_id)),
+made as (select *, header || regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g') || '<|end|>' || chr(10) as segment from heads),
+placed as (select *, length(segment) as chars, coalesce(sum(length(segment)) over (partition by conv_id, perspective
+    order by turn, speaker, segment rows between unbounded preceding and 1 preceding), 0) as start from made),
+parts as (select *, start // 32768 as part, min(start) over (partition by conv_id, perspective, start // 32768) as first from placed)
+select conv_id, perspective, cast(part as bigint) as part, cast(any_value(first) as bigint) as start, count(*) as n_turns,
+  cast(sum(chars) as bigint) as n_chars,
+  cast(coalesce(sum(chars - 1 - length(header)) filter (own), 0) as bigint) as n_masked,
+  coalesce(string_agg((start - first + length(header)) || '-' || (start - first + chars - 1), ',' order by start) filter (own), '') as spans,
+  md5(string_agg(segment, '' order by start)) as text_md5
+from parts group by conv_id, perspective, part
+"""
+
+
+@query("op7_perspective_chat", CHAT_SQL)
+def perspective_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = perspectives.examples(perspectives.segments(read(spark, sf_dir, "conversations")))
+    masked = F.aggregate("mask", F.lit(0).cast("bigint"), lambda n, m: n + m["end"] - m["first"])
+    spans = F.transform("mask", lambda m: F.concat_ws("-", m["first"].cast("string"), m["end"].cast("string")))
+    return rows.select(
+        "conv_id",
+        "perspective",
+        "part",
+        "start",
+        F.col("n_turns").cast("bigint").alias("n_turns"),
+        F.length("text").cast("bigint").alias("n_chars"),
+        masked.alias("n_masked"),
+        F.array_join(spans, ",").alias("spans"),
+        F.md5("text").alias("text_md5"),
+    )
+
+
 @query("op8_simhash_dedup")
 def simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash.near_duplicates(read(spark, sf_dir, "documents"))
