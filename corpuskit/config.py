@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # Special tokens and their ids.
 SPECIAL_TOKENS = {"<PAD>": 0, "<UNK>": 1, "<BOS>": 2, "<EOS>": 3}
@@ -22,6 +22,9 @@ REPROMPT_TEMPLATE = (
 )
 
 
+# The defaults of all settings below.
+
+
 @dataclass(frozen=True)
 class Reprompting:
     success_threshold: float = 1.0
@@ -49,18 +52,3 @@ class LossWeights:
     policy: float = 1.0
     distillation: float = 1.0
     reference_kl: float = 0.01
-
-
-@dataclass(frozen=True)
-class Windows:
-    window: int = 2
-    min_freq: int = 1
-    negatives: int = 5
-
-
-@dataclass(frozen=True)
-class Settings:
-    reprompting: Reprompting = field(default_factory=Reprompting)
-    distillation: Distillation = field(default_factory=Distillation)
-    weights: LossWeights = field(default_factory=LossWeights)
-    windows: Windows = field(default_factory=Windows)

@@ -7,32 +7,55 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from corpuskit.functions import arrays, text as tx
+from corpuskit.operators.numbering import dense_ids
 from corpuskit.session import cut_lineage, fetch, spread
 
-# A corpus position packed into one BIGINT: document id above, chunk position
-# below.  One integer keeps min() inside the hash aggregate; min(struct) would
-# sort every row first.
-POS_BITS = 24
-MAX_DOC_ID = 2 ** (63 - POS_BITS)
+# A corpus position packed into one DECIMAL(38, 0): the document id, any BIGINT,
+# times 2^32, plus the chunk's place.  One number keeps min() inside the hash
+# aggregate; min(struct) would sort every row first.
+PLACE_BITS = 32
+AT_BITS = 31  # the same for a place inside a word, added below
+
+
+def number(value: int) -> Column:
+    return F.lit(value).cast("decimal(12,0)")
+
+
+def packed(high: Column, low: Column, bits: int) -> Column:
+    """``high * 2^bits + low``, ordered like the pair.  ``high`` has 29 digits, enough for a packed place."""
+    return (high.cast("decimal(29,0)") * number(2**bits) + low).cast("decimal(38,0)")
+
+
+def low_part(value: Column, bits: int) -> Column:
+    return F.pmod(value, number(2**bits)).cast("bigint")
+
+
+def high_part(value: Column, bits: int, type_: str = "bigint") -> Column:
+    return ((value - F.pmod(value, number(2**bits))) / number(2**bits)).cast(type_)
 
 
 def corpus_order(doc_id: Column, pos: Column) -> Column:
-    fits = (doc_id >= 0) & (doc_id < MAX_DOC_ID) & (pos < 2**POS_BITS)
-    packed = F.shiftleft(doc_id.cast("bigint"), POS_BITS) + pos
-    problem = F.lit(
-        f"document ids must lie in [0, 2^{63 - POS_BITS}) and chunk positions below 2^{POS_BITS}"
-    )
-    return F.when(fits, packed).otherwise(F.raise_error(problem).cast("bigint"))
+    return packed(doc_id.cast("bigint"), pos, PLACE_BITS)
 
 
 def first_doc(first: Column) -> Column:
-    return F.shiftright(first, POS_BITS)
+    return high_part(first, PLACE_BITS)
 
 
 def first_pos(first: Column) -> Column:
-    return first.bitwiseAND(F.lit(2**POS_BITS - 1))
+    return low_part(first, PLACE_BITS)
+
+
+def ranked(word_types: DataFrame) -> DataFrame:
+    """``(word, freq, first)`` with ``first`` as a dense BIGINT rank: the same order, one machine word."""
+    rows = word_types.select("word", "freq", "first")
+    if not isinstance(rows.schema["first"].dataType, DecimalType):
+        return cut_lineage(rows)
+    numbered = dense_ids(rows, "first", id_type="bigint")
+    return numbered.select("word", "freq", F.col("id").alias("first"))
 
 
 def token_rows(docs: DataFrame, tokens: Column, doc_id: str = "doc_id") -> DataFrame:
@@ -112,10 +135,14 @@ def pair_counts(word_types: DataFrame, with_first: bool = True) -> DataFrame:
     grouped = rows.groupBy(F.col("pair.left").alias("left"), F.col("pair.right").alias("right"))
     if not with_first:
         return grouped.agg(F.sum("freq").alias("freq"))
-    counted = grouped.agg(
-        F.sum("freq").alias("freq"), F.min(F.struct("first", "at")).alias("met")
+    place_type = word_types.schema["first"].dataType.simpleString()
+    met = packed(F.col("first"), F.col("at"), AT_BITS)
+    counted = grouped.agg(F.sum("freq").alias("freq"), F.min(met).alias("met"))
+    return counted.select(
+        "left", "right", "freq",
+        high_part(F.col("met"), AT_BITS, place_type).alias("first"),
+        low_part(F.col("met"), AT_BITS).cast("int").alias("at"),
     )
-    return counted.select("left", "right", "freq", "met.first", "met.at")
 
 
 def pair_scores(word_types: DataFrame, with_first: bool = True) -> DataFrame:
@@ -156,16 +183,6 @@ def substring_total(word_types: DataFrame, max_len: int = tx.MAX_SUBWORD) -> Dat
     return word_types.agg(F.sum(per_word * F.col("freq")).alias("total"))
 
 
-def substring_counts(word_types: DataFrame, max_len: int = tx.MAX_SUBWORD) -> DataFrame:
-    """``(token, freq, first)`` for every substring of every word type."""
-    rows = word_types.select(
-        "freq", "first", F.explode(tx.substrings(F.col("word"), max_len)).alias("token")
-    )
-    return rows.groupBy("token").agg(
-        F.sum("freq").alias("freq"), F.min("first").alias("first")
-    )
-
-
 # Substring lengths counted together; a longer one is only counted where all its
 # parts of the longest length counted before are still in the running.
 HELD_SUBSTRINGS = 500_000  # counted in a task before they go to the shuffle
@@ -258,7 +275,7 @@ def seed_subwords(word_types: DataFrame, size: int, max_len: int = tx.MAX_SUBWOR
     Ties go to the substring met first (word, then start, then length).  Only
     the candidates for the top are joined back to their first word for that.
     """
-    word_types = spread(cut_lineage(word_types.select("word", "freq", "first")))
+    word_types = spread(ranked(word_types))
     near_top = frequent_substrings(word_types, size, max_len)
     total = substring_total(word_types, max_len).scalar()
     placed = near_top.join(word_types.select("word", "first"), "first").select(
@@ -302,3 +319,24 @@ def token_stats(docs: DataFrame, tokens: Column, text: str = "text", by: str | N
         F.coalesce("n_distinct", F.lit(0)).alias("n_distinct"),
         F.try_divide("token_chars", n).alias("mean_token_length"),
     )
+
+
+def row_token_stats(
+    docs: DataFrame, tokens: Column, text: str = "text", doc_id: str = "doc_id", vocab_size: int | None = None
+) -> DataFrame:
+    """The same figures per row, worked out inside the row: no shuffle.
+
+    ``vocab_size`` adds the size of the vocabulary that made the tokens.
+    """
+    rows = docs.select(F.col(doc_id).alias(doc_id), F.length(text).alias("n_chars"), tokens.alias("t"))
+    n, chars = F.size("t"), F.aggregate("t", F.lit(0).cast("bigint"), lambda a, x: a + F.length(x))
+    size = [] if vocab_size is None else [F.lit(vocab_size).alias("vocab_size")]
+    return rows.select(
+        doc_id,
+        F.col("n_chars").cast("bigint").alias("n_chars"),
+        n.cast("bigint").alias("n_tokens"),
+        F.try_divide("n_chars", n).alias("chars_per_token"),
+        F.size(F.array_distinct("t")).cast("bigint").alias("n_distinct"),
+        F.try_divide(chars, n).alias("mean_token_length"),
+        *size,
+    )

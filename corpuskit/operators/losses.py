@@ -9,6 +9,7 @@ from corpuskit.config import Distillation, LossWeights
 from corpuskit.functions import logits as lg
 from corpuskit.functions import vectors
 from corpuskit.operators.lookup import lookup_join
+from corpuskit.operators.numbering import dense_ids
 
 STD_FLOOR = 1e-8
 
@@ -32,8 +33,13 @@ def group_advantages(
 
 
 def consecutive_advantages(rewards: DataFrame, group_size: int, seq: str = "seq") -> DataFrame:
-    """The same for every ``group_size`` consecutive rows; rows of an unfinished group get 0."""
-    grouped = rewards.withColumn("_group", F.floor(F.col(seq) / group_size).cast("bigint"))
+    """The same for every ``group_size`` consecutive rows in the order of ``seq``.
+
+    Rows are numbered without gaps, whatever the values of ``seq``; rows of the
+    unfinished group at the end get 0.
+    """
+    numbered = dense_ids(rewards.withColumn("_seq", F.col(seq)), "_seq", id_type="bigint")
+    grouped = numbered.withColumn("_group", F.floor(F.col("id") / group_size).cast("bigint")).drop("id", "_seq")
     sizes = grouped.groupBy("_group").agg(F.count(F.lit(1)).alias("_size"))
     out = lookup_join(group_advantages(grouped, "_group"), sizes, "_group")
     full = F.col("_size") == group_size

@@ -119,7 +119,8 @@ def count_changes(
 
     changes = words.select("freq", "first", "symbols").mapInArrow(run, DELTA_SCHEMA)
     return changes.groupBy("left", "right", "step").agg(
-        F.sum("delta").alias("delta"), F.min(F.struct("first", "offset")).alias("met")
+        F.sum("delta").alias("delta"),
+        F.min(ct.packed(F.col("first"), F.col("offset"), ct.AT_BITS)).alias("met"),
     )
 
 
@@ -134,7 +135,10 @@ def rank_states(
     """
     histories = changes.where(F.col("right") != pm.WEIGHT_MARK).groupBy("left", "right").agg(
         F.collect_list(
-            F.struct("step", "delta", F.col("met.first").alias("first"), F.col("met.offset").alias("offset"))
+            F.struct(
+                "step", "delta",
+                ct.high_part(F.col("met"), ct.AT_BITS).alias("first"), ct.low_part(F.col("met"), ct.AT_BITS).alias("offset"),
+            )
         ).alias("history")
     )
 
@@ -229,7 +233,7 @@ class MergeTrainer:
     ):
         self.by_score = by_score
         # The corpus is read and split once.
-        word_types = cut_lineage(counts.select("word", "freq", "first"))
+        word_types = ct.ranked(counts)
         word_types = word_types.withColumn("tokens", split(F.col("word")))
         # At most one entry per code point (twice that with a prefix): a bounded table.
         alphabet = symbol_vocab(ct.distinct_symbols(word_types), special).orderBy("id").toArrow()
@@ -349,6 +353,9 @@ class MergeTrainer:
                 guesses.append(symbols.merged(pair))
                 ahead.play(guesses[-1])
             accepted, outlook, beyond = self.try_guesses(guesses, symbols)
+            if not accepted and guesses:
+                # A guess can blur the tie at the top; the counts alone decide it.
+                accepted, outlook, beyond = self.try_guesses([], self.symbols.copy())
             if not accepted:
                 break
             new = [self.symbols.merged(p) for p in accepted[: n_merges - len(self.merges)]]

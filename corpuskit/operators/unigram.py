@@ -141,7 +141,7 @@ def train(
     seed_factor: int = SEED_FACTOR,
 ) -> tuple[DataFrame, DataFrame]:
     """``(vocab, unigram)`` from word counts; seeds are drawn from ``seed_types``."""
-    settled = spread(cut_lineage(word_types.select("word", "freq", "first"))).persist()
+    settled = spread(ct.ranked(word_types)).persist()
     seeds = ct.seed_subwords(
         settled if seed_types is word_types else seed_types, vocab_size * seed_factor
     )

@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-from itertools import accumulate
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpuskit.config import SPECIAL_TOKENS, WORD_SPECIAL_TOKENS
 from corpuskit.functions import text as tx
 from corpuskit.operators import counts as ct
-from corpuskit.session import cut_lineage
-
-ROW_MASK = 2**33 - 1  # monotonically_increasing_id(): the low bits number rows in a partition
+from corpuskit.operators.numbering import dense_ids
 
 
 def special_rows(spark: SparkSession, special: dict[str, int]) -> DataFrame:
@@ -21,30 +17,6 @@ def special_rows(spark: SparkSession, special: dict[str, int]) -> DataFrame:
     )
 
 
-def dense_ids(df: DataFrame, by: str, start: int = 0, id_type: str = "int") -> DataFrame:
-    """Number rows 0, 1, … in the order of ``by`` without sorting them in one task.
-
-    Rows are range partitioned and sorted inside partitions; the driver only
-    sees one count per partition.  The sorted rows are checkpointed because a
-    second range partitioning could draw other borders.
-    """
-    ordered = df.repartitionByRange(by).sortWithinPartitions(by)
-    stored = cut_lineage(
-        ordered.withColumn("_part", F.spark_partition_id()).withColumn(
-            "_row", F.monotonically_increasing_id().bitwiseAND(F.lit(ROW_MASK))
-        )
-    )
-    sizes = sorted((r["_part"], r["n"]) for r in stored.groupBy("_part").agg(F.count("*").alias("n")).collect())
-    starts = accumulate([start] + [n for _, n in sizes[:-1]]) if sizes else []
-    offsets = df.sparkSession.createDataFrame(
-        [(part, offset) for (part, _), offset in zip(sizes, starts)], "_part int, _start bigint"
-    )
-    numbered = stored.join(F.broadcast(offsets), "_part")  # one row per partition
-    return numbered.withColumn("id", (F.col("_start") + F.col("_row")).cast(id_type)).drop(
-        "_part", "_row", "_start"
-    )
-
-
 def symbol_vocab(symbols: DataFrame, special: dict[str, int] | None = None) -> DataFrame:
     """Vocabulary over single symbols.
 
@@ -74,13 +46,14 @@ def large_vocab(tokens: DataFrame, special: dict[str, int] | None = None) -> Dat
 
 def char_vocab(docs: DataFrame, text: str = "text", special: dict[str, int] | None = None) -> DataFrame:
     """Vocabulary of all characters of the raw text."""
-    chars = docs.select(F.explode(tx.characters(F.col(text))).alias("token"))
+    # At most one row per document and distinct character leaves the split.
+    chars = docs.select(F.explode(F.array_distinct(tx.characters(F.col(text)))).alias("token"))
     return symbol_vocab(chars, special)
 
 
 def word_level_vocab(docs: DataFrame, text: str = "text", special: dict[str, int] | None = None) -> DataFrame:
     """Vocabulary of all distinct words between white space."""
-    words = docs.select(F.explode(tx.words(F.col(text))).alias("token")).distinct()
+    words = docs.select(F.explode(F.array_distinct(tx.words(F.col(text)))).alias("token")).distinct()
     return large_vocab(words, special)
 
 

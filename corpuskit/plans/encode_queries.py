@@ -174,18 +174,20 @@ def token_id_lengths(spark, sf):
     return joined.select("doc_id", F.col("pos").cast("bigint").alias("pos"), "token", "id", F.length("token").alias("n_chars"))
 
 
-# Words of the benchmark texts, looked up by id in the vector table; id 0 acts as the pad token.
-BENCH_VOCAB = f"""select '<UNK>' as token, 0 as id union all select token, cast(row_number() over (order by token) as integer)
-from (select distinct unnest({LETTER_WORDS}) as token from benchmark)"""
-EMBEDDED = f"""vocab as ({BENCH_VOCAB}), t as ({token_rows_sql(LETTER_WORDS, 'benchmark', 'item_id')}),
-found as (select doc_id, pos, id, cast(embedding as double[]) as vec from t join vocab using (token) join embeddings on vec_id = id)"""
+# Words of the conversations met three times or more, looked up in the vector table: rarer words are
+# unknown and share id 0 with the padding, ids beyond the table have no vector.
+TURN_WORD_IDS = word_vocab_sql(3).replace("from documents", "from (select conv_id * 1000 + turn as doc_id, text from conversations)")
+EMBEDDED = f"""vocab as (select token, id from ({TURN_WORD_IDS})), t as ({token_rows_sql(LETTER_WORDS, 'benchmark', 'item_id')}),
+found as (select doc_id, pos, coalesce(id, 0) as id, case when coalesce(id, 0) = 0 then list_transform(range(64), lambda i: cast(0 as double))
+  else cast(embedding as double[]) end as vec from t left join vocab using (token) left join embeddings on vec_id = id)"""
 
 
 def embedded(spark, sf):
     bench = table(spark, sf, "benchmark")
-    vocab = vb.word_vocab(bench, doc_id="item_id")
+    turns = table(spark, sf, "conversations").withColumn("doc_id", F.col("conv_id") * 1000 + F.col("turn"))
+    vocab = vb.word_vocab(turns, min_freq=3)
     rows = en.token_ids(en.token_rows(bench, tx.letter_words(F.col("text")), "item_id"), vocab, 0)
-    return en.embed_tokens(rows, embeddings(spark, sf), pad_id=0, size=64).where("vec is not null")
+    return en.embed_tokens(rows, embeddings(spark, sf), pad_id=0, size=64)
 
 
 @query("embedded_tokens", f"with {EMBEDDED} select doc_id, pos, id, round(list_sum(vec), 6) as total from found")
@@ -250,12 +252,12 @@ def cbow_pairs(spark, sf):
 
 @query("skipgram_pairs", f"""with {STREAM}, open as (select doc_id, pos, {KNOWN} from words), {windows_sql('open')},
 pairs as (select target, unnest([greatest(c1, 0), greatest(c2, 0), greatest(c3, 0), greatest(c4, 0)]) as context from win where target >= 0)
-select target, context, count(*) as n from pairs group by target, context having count(*) >= 5""")
+select target, context, count(*) as n from pairs group by target, context""")
 def skipgram_pairs(spark, sf):
-    """Target and context words seen together at least five times."""
+    """How often every target word is seen with every context word."""
     vocab, docs = vocab_and_docs(spark, sf)
     pairs = wn.skipgram_pairs(wn.word_ids(docs, vocab))
-    return pairs.groupBy("target", "context").agg(F.count("*").alias("n")).where("n >= 5")
+    return pairs.groupBy("target", "context").agg(F.count("*").alias("n"))
 
 
 @query("context_pairs", f"""with {STREAM}, {windows_sql('stream')}

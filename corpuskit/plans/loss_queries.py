@@ -56,7 +56,7 @@ def clamped_advantages(spark, sf):
     return shown(ls.group_advantages(samples(spark, sf), floor="clamp"))
 
 
-@query("consecutive_advantages", f"""with {SAMPLES}, n as (select *, seq // 4 as g from s),
+@query("consecutive_advantages", f"""with {SAMPLES}, n as (select *, (row_number() over (order by seq) - 1) // 4 as g from s),
 a as (select prompt_id, sample_id, case when count(*) over w = 4 then (reward - avg(reward) over w) / (stddev_samp(reward) over w + 1e-8) else 0 end as advantage
  from n window w as (partition by g)) {SHOW_ADVANTAGE}""")
 def consecutive_advantages(spark, sf):

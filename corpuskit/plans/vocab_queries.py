@@ -33,6 +33,18 @@ def chunk_counts(spark, sf):
     return placed(ct.chunk_counts(documents(spark, sf)))
 
 
+# Ids as far apart as hashes are, negative ones among them.
+FAR_IDS = "select (doc_id % 1001 - 500) * 18014398509481984 + doc_id as doc_id, text from documents"
+
+
+@query("far_chunk_counts", f"""select word, count(*) as freq, min({{'d': doc_id, 'p': pos}}).d as first_doc, min({{'d': doc_id, 'p': pos}}).p as first_pos
+  from (select token as word, doc_id, pos from ({token_rows_sql(CHUNKS, f"({FAR_IDS})")})) group by word""")
+def far_chunk_counts(spark, sf):
+    """Chunk counts over ids from the whole range of a BIGINT."""
+    far = (F.col("doc_id") % 1001 - 500) * F.lit(18014398509481984) + F.col("doc_id")
+    return placed(ct.chunk_counts(documents(spark, sf).withColumn("doc_id", far)))
+
+
 @query("stripped_word_counts", f"with {counted(WORDS)} select word, freq, {PLACE} from counts")
 def stripped_word_counts(spark, sf):
     return placed(ct.stripped_word_counts(documents(spark, sf)))
@@ -210,7 +222,7 @@ def rounded_stats(stats):
 
 @query("document_token_stats", stats_sql(WORDS))
 def document_token_stats(spark, sf):
-    return rounded_stats(ct.token_stats(documents(spark, sf), tx.words(F.col("text")), by="doc_id"))
+    return rounded_stats(ct.row_token_stats(documents(spark, sf), tx.words(F.col("text"))))
 
 
 @query("corpus_token_stats", f"""

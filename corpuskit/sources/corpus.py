@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuskit.operators.vocab import dense_ids
+from corpuskit.operators.numbering import dense_ids
 from corpuskit.session import spread
 
 

@@ -11,6 +11,7 @@ from corpuskit.operators import lowrank as lr
 from corpuskit.operators import similarity as sm
 from corpuskit.operators import tokenizers as tk
 from corpuskit.operators import vocab as vb
+from corpuskit.operators.numbering import dense_ids
 from corpuskit.operators import windows as wn
 from corpuskit.functions import rewards as rw, text as tx
 from corpuskit.sources import corpus as cp
@@ -78,7 +79,7 @@ def test_dense_ids_do_not_depend_on_partitions(spark):
     words = spark.range(500).select(F.md5(F.col("id").cast("string")).alias("token"))
     expected = {w: i for i, w in enumerate(sorted(r[0] for r in words.collect()))}
     for n in (1, 7):
-        got = {r["token"]: r["id"] for r in vb.dense_ids(words.repartition(n), "token").collect()}
+        got = {r["token"]: r["id"] for r in dense_ids(words.repartition(n), "token").collect()}
         assert got == expected
 
 
