@@ -118,10 +118,10 @@ def window_pieces(
         part, seen = TaskContext.get().partitionId(), defaultdict(int)
         encode = token_ids.encoder(path, drops_space).encode
         for batch in batches:
-            keys, texts = batch.column(0), batch.column(1).to_pylist()
-            for group in token_ids.text_groups(texts):
+            keys = iter(batch.column(0).to_pylist())
+            for texts in token_ids.array_groups(batch.column(1)):
                 out = []
-                for key, ids in zip(keys[group.start : group.stop].to_pylist(), encode(texts[group], end)):
+                for ids, key in zip(encode(texts, end), keys):
                     raw, total = memoryview(ids.astype("<u4").tobytes()), len(ids)
                     for start in range(0, total, window):
                         size = min(window, total - start)

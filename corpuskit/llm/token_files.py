@@ -160,9 +160,9 @@ def write_files(
         fresh = f"{name}.{context.taskAttemptId()}.writing"
         writer = Writer(fs.open_output_stream(fresh, compression=None))
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for group in token_ids.text_groups(texts):
-                for key, ids in zip(batch.column(0)[group.start : group.stop].to_pylist(), encode(texts[group], end)):
+            keys = iter(batch.column(0).to_pylist())
+            for texts in token_ids.array_groups(batch.column(1)):
+                for ids, key in zip(encode(texts, end), keys):
                     writer.add(key, ids)
         writer.close()
         fs.move(fresh, name)
