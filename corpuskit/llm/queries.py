@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuskit.llm import binary_codes, language, licences, packing, perspectives, quality, simhash, threshold_search, token_files
+from corpuskit.llm import binary_codes, language, licences, packing, perspectives, quality, sampled_pieces, simhash, threshold_search, token_files
 from corpuskit.plans.catalog import query
 
 
@@ -13,6 +13,19 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_sampled_pieces")
+def sampled_piece_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = sampled_pieces.encode(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    rows = sampled_pieces.decode(encoded)
+    return rows.select(
+        "doc_id",
+        F.size("piece_ids").cast("bigint").alias("n_pieces"),
+        F.xxhash64("piece_ids").alias("ids_hash"),
+        F.md5("decoded").alias("decoded_md5"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"),
+    )
+
+
 DEDUP_SQL = """
 with recursive v as (select vec_id, cast(embedding as double[]) as e from embeddings),
 l as (select a.vec_id as u, b.vec_id as w from v a join v b on a.vec_id <> b.vec_id
