@@ -154,15 +154,19 @@ def learn(
     """Trees of every language from a bounded sample: ``rows`` whole texts a language.
 
     The sample is the rows with the smallest hash of id and language, so it does not
-    depend on how the table is stored.  None if no row has a text and a language.
+    depend on how the table is stored.  Counts per language give a bound on the hash
+    that about twice as many rows pass, so that only those meet to be ranked.  None
+    if no row has a text and a language.
     """
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    keyed = known.select(
-        F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(doc_id), F.col(lang)).alias("_order")
-    )
-    # The limit cuts inside every task before anything is shuffled.
+    place = F.xxhash64(F.col(doc_id).cast("string"), F.col(lang))
+    counts = known.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("_rows"))
+    share = (place.cast("double") + 2.0**63) / 2.0**64
+    keyed = known.select(F.col(lang).alias("lang"), F.col(text).alias("text"), place.alias("_order"), share.alias("_share"))
+    close = keyed.select("lang", "_order", "_share").join(counts, "lang").where(F.col("_share") * F.col("_rows") <= 2 * rows + 100)
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("_order"))
-    ids = keyed.select("lang", "_order").withColumn("_n", nth).where(F.col("_n") <= rows).select("lang", "_order").distinct()
+    ids = close.select("lang", "_order").withColumn("_n", nth).where(F.col("_n") <= rows).select("lang", "_order").distinct()
+    # At most ``rows`` pairs of two numbers or names a language.
     sample = keyed.join(F.broadcast(ids), ["lang", "_order"]).orderBy("lang", "_order", F.xxhash64("text"))
     found = sample.select("lang", "text").toArrow().to_pydict()
     if not found["lang"]:

@@ -44,15 +44,15 @@ def fingerprint(text: str | None, shingle: int = 4, seed: int = SEED) -> int:
 
 
 def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 4) -> DataFrame:
-    """``(doc_id, fp)`` for every row; a null or blank text has fingerprint 0."""
+    """``(doc_id, text_hash, fp)`` for every row; a null or blank text has fingerprint 0."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [fingerprint(t.as_py(), shingle) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], names=["doc_id", "fp"])
+            found = pa.array([fingerprint(t.as_py(), shingle) for t in batch.column(2)], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], found], names=["doc_id", "text_hash", "fp"])
 
-    source = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    return source.mapInArrow(rows, "doc_id bigint, fp bigint")
+    source = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).alias("text"))
+    return source.mapInArrow(rows, "doc_id bigint, text_hash bigint, fp bigint")
 
 
 def pivot_table(prints: np.ndarray, pivots: int = PIVOTS) -> np.ndarray:
@@ -152,6 +152,17 @@ def links(classes: DataFrame, distance: int = 4, blocks: int = BLOCKS, cell: int
     return dealt.mapInArrow(compare, "u bigint, v bigint")
 
 
+def rooted_classes(prints: DataFrame, distance: int) -> DataFrame:
+    """``(fp, root, component_id)`` of every distinct fingerprint."""
+    classes = cut_lineage(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    roots = components(links(classes, distance)).withColumnRenamed("node", "fp")
+    rooted = cut_lineage(
+        classes.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    )
+    names = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    return rooted.join(names, "root").select("fp", "root", "component_id")
+
+
 def near_duplicates(
     docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 4, distance: int = 4
 ) -> DataFrame:
@@ -163,11 +174,27 @@ def near_duplicates(
     holds another id; repeated ids give repeated rows; an empty table gives none.
     """
     prints = cut_lineage(fingerprints(docs, text, doc_id, shingle))
-    classes = cut_lineage(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    roots = components(links(classes, distance)).withColumnRenamed("node", "fp")
-    rooted = cut_lineage(
-        classes.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    return prints.join(rooted_classes(prints, distance), "fp").select("doc_id", "fp", "component_id")
+
+
+def one_of_each(
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 4, distance: int = 4
+) -> DataFrame:
+    """The rows of ``docs`` with all their columns, one for each group of near copies.
+
+    The smallest id stays; of several texts under that id, the one with the smaller
+    hash; of equal rows, one.  A group of null ids keeps one row.
+    """
+    prints = cut_lineage(fingerprints(docs, text, doc_id, shingle))
+    named = prints.join(rooted_classes(prints, distance), "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    chosen = named.groupBy("root", "doc_id").agg(F.min("text_hash").alias("text_hash"))
+    stay = cut_lineage(
+        named.join(chosen.select("root", "text_hash"), ["root", "text_hash"]).groupBy("root", "doc_id", "text_hash").agg(F.count("*").alias("n"))
     )
-    names = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(names, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    hashed = docs.withColumn("_hash", F.xxhash64(F.col(text)))
+    same = F.col(doc_id).cast("bigint").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_text"))
+    keys = stay.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_text"), "n")
+    single = hashed.join(keys.where("n = 1"), same, "left_semi")
+    # Rows that stand in the table several times are rare; only they are compared as rows.
+    several = hashed.join(keys.where("n > 1"), same, "left_semi").dropDuplicates([doc_id, "_hash"])
+    return single.unionByName(several).drop("_hash")
