@@ -200,7 +200,7 @@ def spanning(u: np.ndarray, v: np.ndarray, number: np.ndarray) -> tuple[np.ndarr
 
 
 def near_duplicates(
-    table: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", least: float = 0.95, sample: int = SAMPLE
+    table: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", least: float = 0.95, sample: int = SAMPLE, cell: int = CELL
 ) -> DataFrame:
     """``(vec_id, n_links, component_id, kept)``, one row per row of ``table``.
 
@@ -214,7 +214,7 @@ def near_duplicates(
     usable = valid_vectors(table, vec_id, vector).where(F.exists("vec", lambda x: x != 0))
     classes = usable.groupBy("vec").agg(F.min("vec_id").alias("first"), F.count("*").alias("n")).select("first", "n", "vec")
     classes = cut_lineage(coded(classes, learn(usable, sample)))
-    counts, links = linked(classes, least)
+    counts, links = linked(classes, least, cell)
     roots = components(links).withColumnRenamed("node", "first")
     named = (
         classes.join(counts, "first", "left")
