@@ -1,7 +1,9 @@
-"""Column expressions over vectors held as arrays."""
+"""Column expressions over vectors held as arrays, and matrices of Arrow batches."""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,10 +30,6 @@ def norm(vec: Column) -> Column:
     return F.sqrt(F.aggregate(vec, F.lit(0.0), lambda acc, x: acc + x * x))
 
 
-def scale(vec: Column, by: Column) -> Column:
-    return F.transform(vec, lambda x: x * by)
-
-
 def normalize(vec: Column) -> Column:
     """Unit length; a zero vector stays zero."""
     length = F.greatest(norm(vec), F.lit(NORMALIZE_FLOOR))
@@ -72,3 +70,12 @@ def similarity_step(sim: Column, steps: int = 9) -> Column:
     """Index into a gradient of ``steps`` shades, clamped to its ends."""
     last = steps - 1
     return F.least(F.greatest(F.floor(sim * last), F.lit(0)), F.lit(last)).cast("int")
+
+
+def as_matrix(lists: pa.Array) -> np.ndarray:
+    flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    return flat.reshape(len(lists), -1 if len(lists) else 0)
+
+
+def unit_rows(m: np.ndarray, floor: float) -> np.ndarray:
+    return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), floor)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuskit.functions.subwords import as_lists
-from corpuskit.operators.similarity import as_matrix
+from corpuskit.functions.vectors import as_matrix
 
 MAX_DIM = 4096  # the d x d product matrix is gathered on the driver
 

@@ -1,32 +1,20 @@
-"""Nearest vectors, analogies, and whole-table similarity summaries."""
+"""Nearest vectors, analogies, similarity figures of all pairs in closed form and of given pairs."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
 from math import ceil
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuskit.functions import vectors as vc
+from corpuskit.operators.lowrank import product_matrix
+from corpuskit.operators.numbering import dense_ids
 from corpuskit.session import cut_lineage
 
-TILE_ROWS = 2048
-QUERY_ROWS = 20_000  # query vectors compared in one pass
-MATRIX_ROWS = 50_000  # largest table whose full matrix is written out
-HISTOGRAM_BINS = 4096
-MEDIAN_ROWS = 1_000_000
-
-
-def as_matrix(lists: pa.Array) -> np.ndarray:
-    flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(lists), -1 if len(lists) else 0)
-
-
-def unit_rows(m: np.ndarray, floor: float) -> np.ndarray:
-    return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), floor)
+QUERY_ROWS, TABLE_ROWS = 1_024, 8_192  # rows of the two blocks that one task compares
 
 
 def nearest(embeddings: DataFrame, query: list[float], k: int = 5, exclude: tuple[int, ...] = ()) -> DataFrame:
@@ -37,69 +25,58 @@ def nearest(embeddings: DataFrame, query: list[float], k: int = 5, exclude: tupl
     return rows.select("id", sim.alias("sim")).orderBy(F.desc("sim"), "id").limit(k)
 
 
-def nearest_to_each(queries: DataFrame, embeddings: DataFrame, k: int = 5) -> DataFrame:
+def nearest_to_each(
+    queries: DataFrame, embeddings: DataFrame, k: int = 5,
+    query_rows: int = QUERY_ROWS, table_rows: int = TABLE_ROWS,
+) -> DataFrame:
     """The ``k`` nearest vectors of every query ``(query_id, vec, exclude array<bigint>)``.
 
-    Queries travel to the table, at most ``QUERY_ROWS`` per pass; every Arrow
-    batch of the table keeps only its own best ``k`` per query, so the window
-    that picks the final ``k`` sees few rows and no product of the tables is built.
+    A stated set of queries against all rows, in blocks: both sides are dealt to
+    blocks of bounded size by a hash, one task compares two blocks by a matrix
+    product and sends ``k`` rows per query on.
     """
-    n_queries = queries.count()
-    passes = max(1, ceil(n_queries / QUERY_ROWS))
-    bucket = F.pmod(F.xxhash64("query_id"), F.lit(passes))
-    results = []
-    for number in range(passes):
-        part = queries.where(bucket == number) if passes > 1 else queries
-        found = part.select(
-            "query_id", vc.as_double(F.col("vec")).alias("vec"), "exclude"
-        ).toArrow()
-        results.append(_best_per_batch(found, embeddings, k))
-    every = results[0]
-    for more in results[1:]:
-        every = every.unionByName(more)
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("sim"), "id"))
-    return every.withColumn("place", place).where(F.col("place") <= k)
-
-
-def _best_per_batch(queries: pa.Table, embeddings: DataFrame, k: int) -> DataFrame:
-    shared = embeddings.sparkSession.sparkContext.broadcast(
-        (
-            queries.column("query_id").to_numpy(),
-            as_matrix(queries.column("vec").combine_chunks()),
-            queries.column("exclude").to_pylist(),
-        )
+    asked = queries.select("query_id", vc.as_double(F.col("vec")).alias("asked"), "exclude")
+    known = embeddings.select(F.col("id").cast("bigint").alias("id"), vc.as_double(F.col("vec")).alias("vec"))
+    q_blocks = max(1, ceil(asked.count() / query_rows))
+    t_blocks = max(1, ceil(known.count() / table_rows))
+
+    def every(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    left = asked.withColumn("q", F.pmod(F.xxhash64("query_id"), F.lit(q_blocks)).cast("int")).withColumn("t", every(t_blocks))
+    right = known.withColumn("t", F.pmod(F.xxhash64("id"), F.lit(t_blocks)).cast("int")).withColumn("q", every(q_blocks))
+
+    def compare(some: pa.Table, block: pa.Table) -> pa.Table:
+        names = ("query_id", "id", "sim")
+        if not some.num_rows or not block.num_rows:
+            return pa.table([pa.array([], t) for t in (pa.int64(), pa.int64(), pa.float64())], names=names)
+        ids = block.column("id").to_numpy()
+        vectors = vc.unit_rows(vc.as_matrix(block.column("vec").combine_chunks()), vc.COSINE_FLOOR)
+        sims = vc.unit_rows(vc.as_matrix(some.column("asked").combine_chunks()), vc.COSINE_FLOOR) @ vectors.T
+        skipped = some.column("exclude").combine_chunks()
+        row = np.repeat(np.arange(len(skipped)), skipped.value_lengths().to_numpy(zero_copy_only=False))
+        order = np.argsort(ids, kind="stable")
+        skip = skipped.flatten().to_numpy(zero_copy_only=False)
+        low, high = (np.searchsorted(ids, skip, side, sorter=order) for side in ("left", "right"))
+        for r, a, b in zip(row, low, high):
+            sims[r, order[a:b]] = -np.inf
+        # Everything down to the k-th best value, ties included; then the first k by id.
+        if sims.shape[1] > k:
+            least = np.partition(sims, sims.shape[1] - k, axis=1)[:, [-k]]
+            r, c = np.nonzero((sims >= least) & np.isfinite(sims))
+        else:
+            r, c = np.nonzero(np.isfinite(sims))
+        best = np.lexsort((ids[c], -sims[r, c], r))
+        r, c = r[best], c[best]
+        place = np.arange(len(r)) - np.searchsorted(r, r)
+        r, c = r[place < k], c[place < k]
+        return pa.table([pa.array(x) for x in (some.column("query_id").to_numpy()[r], ids[c], sims[r, c])], names=names)
+
+    found = left.groupBy("q", "t").cogroup(right.groupBy("q", "t")).applyInArrow(
+        compare, "query_id bigint, id bigint, sim double"
     )
-
-    def run(data: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        query_ids, asked, excluded = shared.value
-        if not len(query_ids):
-            return
-        asked = unit_rows(asked, vc.COSINE_FLOOR)
-        for record in data:
-            ids = record.column("id").to_numpy()
-            if not len(ids):
-                continue
-            known = unit_rows(as_matrix(record.column("vec")), vc.COSINE_FLOOR)
-            out_query, out_id, out_sim = [], [], []
-            for query_id, vector, skip in zip(query_ids, asked, excluded):
-                sims = known @ vector
-                if skip:
-                    sims = np.where(np.isin(ids, skip), -np.inf, sims)
-                best = np.lexsort((ids, -sims))[:k] if len(ids) > k else np.arange(len(ids))
-                best = best[np.isfinite(sims[best])]
-                out_query.append(np.full(len(best), query_id))
-                out_id.append(ids[best])
-                out_sim.append(sims[best])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate(out_query).astype(np.int64)),
-                    pa.array(np.concatenate(out_id).astype(np.int64)),
-                    pa.array(np.concatenate(out_sim).astype(np.float64)),
-                ],
-                names=["query_id", "id", "sim"],
-            )
-
-    return embeddings.select("id", "vec").mapInArrow(run, "query_id bigint, id bigint, sim double")
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("sim"), "id"))
+    return found.withColumn("place", place).where(F.col("place") <= k)
 
 
 def similar_words(embeddings: DataFrame, words: list[str], k: int = 5) -> DataFrame:
@@ -152,214 +129,106 @@ def word_analogy(embeddings: DataFrame, a: str, b: str, c: str, k: int = 5) -> D
     return found.join(names, "id").select("token", "sim", "place")
 
 
-# --- the whole matrix, tile by tile ---------------------------------------------------------
+# --- all pairs in closed form -------------------------------------------------------------
+
+
+def unit_vectors(embeddings: DataFrame) -> DataFrame:
+    return embeddings.select(
+        F.col("id").cast("bigint").alias("id"), vc.normalize(vc.as_double(F.col("vec"))).alias("vec")
+    )
+
 
+def vector_sum(units: DataFrame, dim: int) -> list[float]:
+    sums = units.agg(*[F.sum(F.col("vec")[i]).alias(f"s{i}") for i in range(dim)]).first()
+    return [x or 0.0 for x in sums]
 
-def cosine_tile(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return unit_rows(a, vc.NORMALIZE_FLOOR) @ unit_rows(b, vc.NORMALIZE_FLOOR).T
 
+def cosine_moments(embeddings: DataFrame) -> DataFrame:
+    """One row ``(n, mean, std)``: the cosine of all pairs of rows, without building a pair.
+
+    With unit vectors u and their sum s, the cosines of all pairs add up to
+    (|s|^2 - sum |u|^2) / 2 and their squares to (|U'U|^2 - sum |u|^4) / 2.
+    """
+    units = unit_vectors(embeddings)
+    size = F.pow(vc.norm(F.col("vec")), F.lit(2))
+    rows, dim, own, own_square = units.agg(F.count("*"), F.max(F.size("vec")), F.sum(size), F.sum(size * size)).first()
+    n = rows * (rows - 1) // 2
+    mean = std = None
+    if n:
+        total = (sum(x * x for x in vector_sum(units, dim)) - own) / 2
+        squares = (float((product_matrix(units, dim) ** 2).sum()) - own_square) / 2
+        mean = total / n
+        std = (max(0.0, squares - n * mean * mean) / (n - 1)) ** 0.5 if n > 1 else None
+    return embeddings.sparkSession.createDataFrame([(n, mean, std)], "n bigint, mean double, std double")
 
-def distance_tile(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Row by row: expanding the square would lose the small distances."""
-    return np.stack([np.sqrt(((row - b) ** 2).sum(axis=1)) for row in a])
 
+def cosine_means(embeddings: DataFrame) -> DataFrame:
+    """``(id, n, mean)``: mean cosine of each vector to all others, (u . s - |u|^2) / (rows - 1)."""
+    units = unit_vectors(embeddings)
+    rows, dim = units.agg(F.count("*"), F.max(F.size("vec"))).first()
+    total = F.array(*[F.lit(x) for x in vector_sum(units, dim or 0)]).cast("array<double>")
+    u = F.col("vec")
+    mean = F.try_divide(vc.dot(u, total) - vc.dot(u, u), F.lit(rows - 1))
+    return units.select("id", F.lit(rows - 1).cast("bigint").alias("n"), mean.alias("mean"))
 
-METRICS = {"cosine": cosine_tile, "euclidean": distance_tile}
-Reduce = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], dict[str, pa.Array]]
 
+# --- given pairs --------------------------------------------------------------------------
 
-class PairTiles:
-    """All unordered pairs of a vector table, as tiles of a grid.
 
-    Rows are dealt to evenly filled groups; a task multiplies one group with
-    another and reduces the tile at once, so pairs are never written as rows
-    unless the matrix itself is asked for.  Work is quadratic by nature; a row
-    is copied once per group.
+METRICS = {"cosine": lambda a, b: vc.dot(vc.normalize(a), vc.normalize(b)), "euclidean": vc.euclidean}
+
+
+def pair_values(embeddings: DataFrame, pairs: DataFrame, metric: str = "cosine") -> DataFrame:
+    """``(i, j, value)`` for the pairs of ids ``(i, j)`` that are both in the table.
+
+    Which pairs to compare is for the caller to say: the square of a table is
+    never built.
     """
+    def side(name: str) -> DataFrame:
+        return embeddings.select(F.col("id").cast("bigint").alias(name), vc.as_double(F.col("vec")).alias(f"_{name}"))
 
-    def __init__(self, embeddings: DataFrame, metric: str = "cosine", tile_rows: int = TILE_ROWS):
-        self.metric = METRICS[metric]
-        rows = embeddings.select(
-            F.col("id").cast("bigint").alias("id"), vc.as_double(F.col("vec")).alias("vec")
-        )
-        self.n = rows.count()
-        # Enough groups to occupy the cores, and none above the tile size.
-        cores = rows.sparkSession.sparkContext.defaultParallelism
-        groups = max(ceil(self.n / tile_rows), min(ceil((2 * cores) ** 0.5), ceil(self.n / 64)), 1)
-        self.groups = groups
-        dealt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups))
-        self.rows = cut_lineage(rows.withColumn("g", dealt.cast("int")))
-
-    def reduce(self, function: Reduce, schema: str) -> DataFrame:
-        last = self.groups - 1
-        left = self.rows.select(
-            F.col("g").alias("lo"), F.explode(F.sequence("g", F.lit(last))).alias("hi"), "id", "vec"
-        )
-        # The two sides must not share column names: Spark would prune them as one.
-        right = self.rows.select(
-            F.explode(F.sequence(F.lit(0), "g")).alias("lo"), F.col("g").alias("hi"),
-            F.col("id").alias("other_id"), F.col("vec").alias("other_vec"),
-        )
-        metric = self.metric
-
-        def tile(key: tuple, a: pa.Table, b: pa.Table) -> pa.Table:
-            if not a.num_rows or not b.num_rows:  # a group that got no rows
-                nobody = np.empty(0, np.int64)
-                return function(np.empty((0, 0)), nobody, nobody, np.empty((0, 0), bool))
-            ids_a, ids_b = a.column("id").to_numpy(), b.column("other_id").to_numpy()
-            values = metric(
-                as_matrix(a.column("vec").combine_chunks()),
-                as_matrix(b.column("other_vec").combine_chunks()),
-            )
-            used = np.ones(values.shape, bool)
-            if key[0].as_py() == key[1].as_py():
-                used = ids_a[:, None] < ids_b[None, :]
-            return function(values, ids_a, ids_b, used)
-
-        pairs = left.groupBy("lo", "hi").cogroup(right.groupBy("lo", "hi"))
-        return pairs.applyInArrow(tile, schema)
-
-    def matrix(self) -> DataFrame:
-        """``(i, j, value)`` with i < j.  As large as the square of the table, hence the size check."""
-        if self.n > MATRIX_ROWS:
-            raise ValueError(f"the full matrix is limited to {MATRIX_ROWS} vectors; use the summaries")
-
-        def entries(values, ids_a, ids_b, used):
-            a, b = np.nonzero(used)
-            i, j = ids_a[a], ids_b[b]
-            return pa.table({"i": np.minimum(i, j), "j": np.maximum(i, j), "value": values[a, b]})
-
-        return self.reduce(entries, "i bigint, j bigint, value double")
-
-    def by_vector(self) -> DataFrame:
-        """``(id, n, mean, min, max)`` of each row of the matrix, the diagonal left out."""
-
-        def parts(values, ids_a, ids_b, used):
-            def side(ids, v, u):
-                n = u.sum(axis=1)
-                return {
-                    "id": ids, "n": n,
-                    "total": np.where(u, v, 0.0).sum(axis=1),
-                    "low": np.where(u, v, np.inf).min(axis=1, initial=np.inf),
-                    "high": np.where(u, v, -np.inf).max(axis=1, initial=-np.inf),
-                }
-
-            a, b = side(ids_a, values, used), side(ids_b, values.T, used.T)
-            both = {c: np.concatenate([a[c], b[c]]) for c in a}
-            keep = both["n"] > 0
-            return pa.table({c: v[keep] for c, v in both.items()})
-
-        rows = self.reduce(parts, "id bigint, n bigint, total double, low double, high double")
-        return rows.groupBy("id").agg(
-            F.sum("n").alias("n"),
-            (F.sum("total") / F.sum("n")).alias("mean"),
-            F.min("low").alias("min"),
-            F.max("high").alias("max"),
-        )
+    found = pairs.select("i", "j").join(side("i"), "i").join(side("j"), "j")
+    return found.select("i", "j", METRICS[metric](F.col("_i"), F.col("_j")).alias("value"))
+
+
+def by_vector(values: DataFrame) -> DataFrame:
+    """``(id, n, mean, min, max)`` of the pairs each vector stands in."""
+    rows = values.select(F.explode(F.array("i", "j")).alias("id"), "value")
+    return rows.groupBy("id").agg(
+        F.count("*").alias("n"), F.avg("value").alias("mean"), F.min("value").alias("min"), F.max("value").alias("max")
+    )
 
-    def moments(self) -> DataFrame:
-        """One row ``(n, mean, std, min, max)`` over all pairs; std is the sample one."""
-
-        def parts(values, ids_a, ids_b, used):
-            v = values[used]
-            if not len(v):
-                return pa.table({c: pa.array([], t) for c, t in zip(("n", "mean", "m2", "low", "high"), [pa.int64()] + [pa.float64()] * 4)})
-            return pa.table(
-                {"n": [len(v)], "mean": [v.mean()], "m2": [((v - v.mean()) ** 2).sum()], "low": [v.min()], "high": [v.max()]}
-            )
-
-        tiles = cut_lineage(self.reduce(parts, "n bigint, mean double, m2 double, low double, high double"))
-        mean = tiles.agg(F.sum(F.col("n") * F.col("mean")) / F.sum("n")).scalar()
-        shifted = F.col("m2") + F.col("n") * F.pow(F.col("mean") - mean, F.lit(2.0))
-        return tiles.agg(
-            F.sum("n").alias("n"),
-            F.max(mean).alias("mean"),
-            F.sqrt(F.sum(shifted) / F.nullif(F.sum("n") - 1, F.lit(0))).alias("std"),
-            F.min("low").alias("min"),
-            F.max("high").alias("max"),
-        )
 
-    def histogram(self, low: float, high: float, bins: int) -> DataFrame:
-        """``(bin, n)`` over [low, high]; the top edge belongs to the last bin."""
-        span = high - low
-
-        def parts(values, ids_a, ids_b, used):
-            v = values[used]
-            v = v[(v >= low) & (v <= high)]
-            at = np.zeros(len(v), np.int64) if span <= 0 else np.minimum(np.floor((v - low) / span * bins).astype(np.int64), bins - 1)
-            found, n = np.unique(at, return_counts=True)
-            return pa.table({"bin": pa.array(found.astype(np.int32)), "n": pa.array(n.astype(np.int64))})
-
-        return self.reduce(parts, "bin int, n bigint").groupBy("bin").agg(F.sum("n").alias("n"))
-
-    def median(self, n: int, low: float, high: float) -> float | None:
-        """The lower median: narrow the range by histograms, then sort what is left."""
-        if not n:
-            return None
-        rank = (n - 1) // 2  # zero-based, among the values in [low, high]
-        while n > MEDIAN_ROWS and np.nextafter(low, high) < high:
-            counts = np.zeros(HISTOGRAM_BINS, np.int64)
-            for row in self.histogram(low, high, HISTOGRAM_BINS).collect():
-                counts[row["bin"]] = row["n"]
-            at = int(np.searchsorted(np.cumsum(counts), rank, side="right"))
-            width = (high - low) / HISTOGRAM_BINS
-            # One bin of slack on both sides keeps rounding at the edges harmless.
-            new_low, new_high = low + (at - 1) * width, low + (at + 2) * width
-            new_low, new_high = max(low, new_low), min(high, new_high)
-            below, inside = self._split(low, new_low, new_high)
-            if inside >= n:
-                break
-            low, high, rank, n = new_low, new_high, rank - below, inside
-        inside = self._values(low, high)
-        return inside.orderBy("value").limit(rank + 1).agg(F.max("value")).first()[0]
-
-    def _split(self, floor: float, low: float, high: float) -> tuple[int, int]:
-        def parts(values, ids_a, ids_b, used):
-            v = values[used]
-            return pa.table(
-                {"below": [int(((v >= floor) & (v < low)).sum())], "inside": [int(((v >= low) & (v <= high)).sum())]}
-            )
-
-        return tuple(self.reduce(parts, "below bigint, inside bigint").agg(F.sum("below"), F.sum("inside")).first())
-
-    def _values(self, low: float, high: float) -> DataFrame:
-        def parts(values, ids_a, ids_b, used):
-            v = values[used]
-            return pa.table({"value": v[(v >= low) & (v <= high)]})
-
-        return self.reduce(parts, "value double")
-
-
-def distribution(embeddings: DataFrame, metric: str = "cosine") -> DataFrame:
-    """One row ``(n, mean, std, min, max, median)`` over all pairs of different vectors."""
-    tiles = PairTiles(embeddings, metric)
-    row = tiles.moments().first()
-    n = row["n"] or 0
-    median = tiles.median(n, row["min"], row["max"]) if n else None
-    return embeddings.sparkSession.createDataFrame(
-        [(n, row["mean"], row["std"], row["min"], row["max"], median)],
+def distribution(values: DataFrame) -> DataFrame:
+    """One row ``(n, mean, std, min, max, median)``; std is the sample one, the median the lower one.
+
+    The median is the row of that number in a range partitioned order, so no task
+    sorts all values.
+    """
+    numbered = cut_lineage(dense_ids(values.select("value"), "value", id_type="bigint"))
+    n, mean, std, low, high = numbered.agg(
+        F.count("*"), F.avg("value"), F.stddev_samp("value"), F.min("value"), F.max("value")
+    ).first()
+    row = numbered.where(F.col("id") == (n - 1) // 2).select("value").first()
+    return values.sparkSession.createDataFrame(
+        [(n, mean, std if n > 1 else None, low, high, row and row[0])],
         "n bigint, mean double, std double, min double, max double, median double",
     )
 
 
-def histogram(embeddings: DataFrame, bins: int = 20, metric: str = "cosine") -> DataFrame:
-    """``(bin, n)`` between the smallest and the largest similarity."""
-    tiles = PairTiles(embeddings, metric)
-    row = tiles.moments().first()
-    return tiles.histogram(row["min"], row["max"], bins)
+def histogram(values: DataFrame, bins: int = 20) -> DataFrame:
+    """``(bin, n)`` between the smallest and the largest value; the top edge belongs to the last bin."""
+    low, high = values.agg(F.min("value"), F.max("value")).first()
+    span = (high or 0.0) - (low or 0.0)
+    at = F.least(F.floor((F.col("value") - F.lit(low)) / F.lit(span) * bins), F.lit(bins - 1)) if span > 0 else F.lit(0)
+    return values.groupBy(at.cast("int").alias("bin")).agg(F.count("*").alias("n"))
 
 
-def heatmap(embeddings: DataFrame, max_words: int = 12) -> DataFrame:
-    """``(i, j, sim, band, step)`` among the first ``max_words`` vectors by id, for display."""
-    shown = embeddings.select(F.col("id").cast("bigint").alias("id"), "vec").orderBy("id").limit(max_words)
-    queries = shown.select(
-        F.col("id").alias("query_id"), "vec", F.array().cast("array<bigint>").alias("exclude")
-    )
-    sims = nearest_to_each(queries, shown, max_words)
-    sim = F.col("sim")
-    return sims.select(
-        F.col("query_id").alias("i"), F.col("id").alias("j"), sim,
-        vc.similarity_band(sim).alias("band"), vc.similarity_step(sim).alias("step"),
+def shades(values: DataFrame) -> DataFrame:
+    """``(i, j, sim, band, step)``: given similarities with their shades for display."""
+    sim = F.col("value")
+    return values.select(
+        "i", "j", sim.alias("sim"), vc.similarity_band(sim).alias("band"), vc.similarity_step(sim).alias("step")
     )
 
 
@@ -372,7 +241,7 @@ def compare_kinds(embeddings: DataFrame) -> DataFrame:
 
     Different one-hot vectors are orthogonal, so their figures follow from the ids.
     """
-    stats = distribution(embeddings).first()
+    stats = cosine_moments(embeddings).first()
     vec = vc.as_double(F.col("vec"))
     sizes = embeddings.agg(
         F.max(F.size("vec")).alias("dim"),

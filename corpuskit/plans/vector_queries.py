@@ -66,11 +66,12 @@ def similar_words(spark, sf):
     return found.withColumn("sim", rounded(F.col("sim")))
 
 
-@query("nearest_to_each", f"""with {E}, q as (select id as word, id as qid, v from e),
+@query("nearest_to_each", f"""with {E}, q as (select id as word, id as qid, v from e where id % 50 = 0),
 {ranked_sql('q', 'e.id <> q.qid', 3)} select word as query_id, id, round(sim, 6) as sim, cast(place as integer) as place from placed where place <= 3""")
 def nearest_to_each(spark, sf):
+    """Every fiftieth vector against all others."""
     e = embeddings(spark, sf)
-    queries = e.select(F.col("id").alias("query_id"), "vec", F.array("id").alias("exclude"))
+    queries = e.where("id % 50 = 0").select(F.col("id").alias("query_id"), "vec", F.array("id").alias("exclude"))
     return sm.nearest_to_each(queries, e, 3).withColumn("sim", rounded(F.col("sim")))
 
 
@@ -82,24 +83,50 @@ def word_analogy(spark, sf):
 
 
 @query("analogies", f"""with {E}, q as (select a.id as word, [a.id, b.id, c.id] as skip, list_transform(list_zip(b.v, a.v, c.v), lambda t: t[1] - t[2] + t[3]) as v
-  from e a join e b on b.id = a.id + 1 join e c on c.id = a.id + 2),
+  from e a join e b on b.id = a.id + 1 join e c on c.id = a.id + 2 where a.id % 50 = 0),
 {ranked_sql('q', 'not list_contains(q.skip, e.id)', 1)} select word as query_id, id, round(sim, 6) as sim from placed where place <= 1""")
 def analogies(spark, sf):
-    """One question per vector: it and the next two."""
+    """A question for every fiftieth vector: it and the next two."""
     e = embeddings(spark, sf)
-    asked = e.select(F.col("id").alias("query_id"), F.col("id").alias("a"), (F.col("id") + 1).alias("b"), (F.col("id") + 2).alias("c"))
+    asked = e.where("id % 50 = 0").select(F.col("id").alias("query_id"), F.col("id").alias("a"), (F.col("id") + 1).alias("b"), (F.col("id") + 2).alias("c"))
     return sm.analogies(e, asked, 1).select("query_id", "id", rounded(F.col("sim")).alias("sim"))
 
 
 UNIT = "u as (select id, list_transform(v, lambda x: x / greatest(sqrt(list_dot_product(v, v)), 1e-12)) as u from e)"
-SIMS = f"{E}, {UNIT}, sims as (select a.id as i, b.id as j, list_dot_product(a.u, b.u) as s from u a join u b on a.id < b.id)"
-DISTANCES = f"{E}, sims as (select a.id as i, b.id as j, list_distance(a.v, b.v) as s from e a join e b on a.id < b.id)"
-BY_VECTOR = """select id, count(*) as n, round(avg(s), 6) as mean, round(min(s), 6) as min, round(max(s), 6) as max
+ALL_SIMS = f"{E}, {UNIT}, sims as (select a.id as i, b.id as j, list_dot_product(a.u, b.u) as s from u a join u b on a.id < b.id)"
+
+
+@query("similarity_moments", f"with {ALL_SIMS} select count(*) as n, round(avg(s), 6) + 0.0 as mean, round(stddev_samp(s), 6) as std from sims")
+def similarity_moments(spark, sf):
+    """Over all pairs, in closed form."""
+    rows = sm.cosine_moments(embeddings(spark, sf))
+    return rows.select("n", rounded(F.col("mean")).alias("mean"), rounded(F.col("std")).alias("std"))
+
+
+@query("similarity_means", f"""with {ALL_SIMS} select id, count(*) as n, round(avg(s), 6) + 0.0 as mean
+from (select i as id, s from sims union all select j, s from sims) group by id""")
+def similarity_means(spark, sf):
+    """Of every vector to all others, in closed form."""
+    rows = sm.cosine_means(embeddings(spark, sf))
+    return rows.withColumn("mean", rounded(F.col("mean")))
+
+
+# The pairs compared below: every vector and the next twelve ids.
+NEAR = 12
+SIMS = f"{E}, {UNIT}, sims as (select a.id as i, b.id as j, list_dot_product(a.u, b.u) as s from u a join u b on b.id > a.id and b.id <= a.id + {NEAR})"
+DISTANCES = f"{E}, sims as (select a.id as i, b.id as j, list_distance(a.v, b.v) as s from e a join e b on b.id > a.id and b.id <= a.id + {NEAR})"
+BY_VECTOR = """select id, count(*) as n, round(avg(s), 6) + 0.0 as mean, round(min(s), 6) + 0.0 as min, round(max(s), 6) + 0.0 as max
 from (select i as id, s from sims union all select j, s from sims) group by id"""
 
 
+def near_values(spark, sf, metric="cosine"):
+    e = embeddings(spark, sf)
+    pairs = e.select(F.col("id").alias("i"), F.explode(F.sequence(F.col("id") + 1, F.col("id") + NEAR)).alias("j"))
+    return sm.pair_values(e, pairs, metric)
+
+
 def by_vector(spark, sf, metric):
-    rows = sm.PairTiles(embeddings(spark, sf), metric).by_vector()
+    rows = sm.by_vector(near_values(spark, sf, metric))
     return rows.withColumns({c: rounded(F.col(c)) for c in ("mean", "min", "max")})
 
 
@@ -113,12 +140,12 @@ def distance_by_vector(spark, sf):
     return by_vector(spark, sf, "euclidean")
 
 
-SPREAD = """select count(*) as n, round(avg(s), 6) as mean, round(stddev_samp(s), 6) as std, round(min(s), 6) as min,
- round(max(s), 6) as max, round(percentile_disc(0.5) within group (order by s), 6) as median from sims"""
+SPREAD = """select count(*) as n, round(avg(s), 6) + 0.0 as mean, round(stddev_samp(s), 6) as std, round(min(s), 6) as min,
+ round(max(s), 6) as max, round(percentile_disc(0.5) within group (order by s), 6) + 0.0 as median from sims"""
 
 
 def spread_of(spark, sf, metric):
-    return sm.distribution(embeddings(spark, sf), metric).withColumns(
+    return sm.distribution(near_values(spark, sf, metric)).withColumns(
         {c: rounded(F.col(c)) for c in ("mean", "std", "min", "max", "median")}
     )
 
@@ -136,22 +163,19 @@ def distance_distribution(spark, sf):
 @query("similarity_histogram", f"""with {SIMS}, edge as (select min(s) as lo, max(s) as hi from sims)
 select cast(least(floor((s - lo) / (hi - lo) * 20), 19) as integer) as bin, count(*) as n from sims, edge group by 1""")
 def similarity_histogram(spark, sf):
-    return sm.histogram(embeddings(spark, sf), 20)
+    return sm.histogram(near_values(spark, sf), 20)
 
 
-@query("similarity_heatmap", f"""with {E}, shown as (select * from e order by id limit 12),
-s as (select a.id as i, b.id as j, {cosine_sql('a.v', 'b.v')} as sim from shown a, shown b)
-select i, j, round(sim, 6) + 0.0 as sim, case when sim > 0.9 then 4 when sim > 0.7 then 3 when sim > 0.5 then 2 when sim > 0.3 then 1 else 0 end as band,
- cast(least(greatest(floor(round(sim, 9) * 8), 0), 8) as integer) as step from s""")
+@query("similarity_heatmap", f"""with {SIMS}
+select i, j, round(s, 6) + 0.0 as sim, case when s > 0.9 then 4 when s > 0.7 then 3 when s > 0.5 then 2 when s > 0.3 then 1 else 0 end as band,
+ cast(least(greatest(floor(s * 8), 0), 8) as integer) as step from sims""")
 def similarity_heatmap(spark, sf):
-    """The display corner of the similarity matrix, with its shades."""
-    cells = sm.heatmap(embeddings(spark, sf))
-    step = vc.similarity_step(F.round("sim", 9))  # the diagonal is one up to rounding
-    return cells.withColumns({"step": step, "sim": rounded(F.col("sim"))})
+    """The shades of the similarities beside the diagonal."""
+    return sm.shades(near_values(spark, sf)).withColumn("sim", rounded(F.col("sim")))
 
 
-@query("compared_vector_kinds", f"""with {SIMS}
-select 'dense' as kind, cast(64 as bigint) as dim, round(avg(s), 6) as mean, round(stddev_samp(s), 6) as std,
+@query("compared_vector_kinds", f"""with {ALL_SIMS}
+select 'dense' as kind, cast(64 as bigint) as dim, round(avg(s), 6) + 0.0 as mean, round(stddev_samp(s), 6) as std,
  (select round(avg(case when x = 0 then 1.0 else 0.0 end), 6) from (select unnest(v) as x from e)) as zero_share from sims
 union all select 'one-hot', (select count(*) from e), 0, 0, (select round(1 - 1 / count(*), 6) from e)""")
 def compared_vector_kinds(spark, sf):

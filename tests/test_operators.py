@@ -106,37 +106,53 @@ def test_negative_samples_follow_the_weights(spark):
     assert again.exceptAll(drawn).count() == 0
 
 
-def test_pair_tiles_against_numpy(spark, matrix):
-    unit = matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
-    sims = (unit @ unit.T)[np.triu_indices(150, 1)]
+def every_pair(table):
+    ids = table.select(F.col("id").alias("i"))
+    return ids.join(ids.select(F.col("i").alias("j")), F.col("i") < F.col("j"))
+
+
+def test_closed_forms_against_numpy(spark, matrix):
+    matrix = np.vstack([matrix, np.zeros(matrix.shape[1])])
+    unit = matrix / np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-12)
+    sims = unit @ unit.T
+    upper = sims[np.triu_indices(151, 1)]
     table = vector_table(spark, matrix)
-    row = sm.distribution(table).first()
-    expected = (len(sims), sims.mean(), sims.std(ddof=1), sims.min(), sims.max(), np.sort(sims)[(len(sims) - 1) // 2])
-    assert tuple(row) == pytest.approx(expected)
-    tiles = sm.PairTiles(table, tile_rows=40)
-    assert tiles.matrix().count() == len(sims)
-    assert sum(r["n"] for r in tiles.histogram(sims.min(), sims.max(), 20).collect()) == len(sims)
+    assert tuple(sm.cosine_moments(table).first()) == pytest.approx((len(upper), upper.mean(), upper.std(ddof=1)))
+    means = {r["id"]: r["mean"] for r in sm.cosine_means(table).collect()}
+    want = (sims.sum(axis=1) - np.diag(sims)) / 150
+    assert [means[i] for i in range(151)] == pytest.approx(want.tolist())
+    one = table.where("id = 0")
+    assert tuple(sm.cosine_moments(one).first()) == (0, None, None)
+    assert sm.cosine_means(one).first()["mean"] is None
 
 
-def test_median_by_narrowing(spark, matrix, monkeypatch):
-    monkeypatch.setattr(sm, "MEDIAN_ROWS", 50)
-    monkeypatch.setattr(sm, "HISTOGRAM_BINS", 16)
+def test_given_pairs_against_numpy(spark, matrix):
     unit = matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
-    sims = np.sort((unit @ unit.T)[np.triu_indices(150, 1)])
-    assert sm.distribution(vector_table(spark, matrix)).first()["median"] == pytest.approx(sims[(len(sims) - 1) // 2])
+    sims = (unit @ unit.T)[np.triu_indices(150, 1)]
+    table = vector_table(spark, matrix)
+    values = sm.pair_values(table, every_pair(table))
+    expected = (len(sims), sims.mean(), sims.std(ddof=1), sims.min(), sims.max(), np.sort(sims)[(len(sims) - 1) // 2])
+    assert tuple(sm.distribution(values).first()) == pytest.approx(expected)
+    assert sum(r["n"] for r in sm.histogram(values, 20).collect()) == len(sims)
 
 
 def test_single_pair(spark):
-    got = sm.distribution(vector_table(spark, [[0.0], [0.0]]), "euclidean").first()
+    table = vector_table(spark, [[0.0], [0.0]])
+    values = sm.pair_values(table, every_pair(table), "euclidean")
+    got = sm.distribution(values).first()
     assert got["n"] == 1 and got["median"] == 0.0 and got["std"] is None
+    assert [tuple(r) for r in sm.histogram(values).collect()] == [(0, 1)]
+    nothing = sm.distribution(values.where("false")).first()
+    assert nothing["n"] == 0 and nothing["median"] is None
+    assert sm.histogram(values.where("false")).count() == 0
 
 
-def test_nearest_in_several_passes(spark, matrix, monkeypatch):
+def test_nearest_in_several_blocks(spark, matrix):
     table = vector_table(spark, matrix)
     queries = table.select(F.col("id").alias("query_id"), "vec", F.array("id").alias("exclude"))
     one = sorted(map(tuple, sm.nearest_to_each(queries, table, 3).collect()))
-    monkeypatch.setattr(sm, "QUERY_ROWS", 40)
-    assert sorted(map(tuple, sm.nearest_to_each(queries, table, 3).collect())) == one
+    several = sorted(map(tuple, sm.nearest_to_each(queries, table, 3, query_rows=40, table_rows=20).collect()))
+    assert [r[:2] + r[3:] for r in several] == [r[:2] + r[3:] for r in one]
     unit = matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
     sims = unit @ unit.T - 2 * np.eye(150)
     best = {(q, p): i for q, i, _, p in one}
