@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpuskit.functions import pair_merging as pm
@@ -375,6 +375,31 @@ class MergeTrainer:
         self.words.unpersist()
 
 
+def merges_table(trainer: MergeTrainer, spark: SparkSession) -> DataFrame:
+    tokens = trainer.symbols.tokens
+    return spark.createDataFrame(
+        [
+            (rank, tokens[left], tokens[right], tokens[new])
+            for rank, (left, right, new) in enumerate(trainer.merges)
+        ],
+        "rank int, left string, right string, merged string",
+    )
+
+
+def first_merges(
+    counts: DataFrame,
+    split: Callable[[Column], Column],
+    n_merges: int,
+    special: dict[str, int],
+    prefix: str = "",
+    by_score: bool = False,
+) -> DataFrame:
+    """``(rank, left, right, merged)``: the first ``n_merges`` merges of a training."""
+    trainer = MergeTrainer(counts, split, special, prefix, by_score)
+    trainer.run(n_merges)
+    return merges_table(trainer, counts.sparkSession)
+
+
 def learn_merges(
     counts: DataFrame,
     split: Callable[[Column], Column],
@@ -392,11 +417,4 @@ def learn_merges(
         [(t, i, t in special) for i, t in enumerate(tokens)],
         "token string, id int, is_special boolean",
     )
-    merges = spark.createDataFrame(
-        [
-            (rank, tokens[left], tokens[right], tokens[new])
-            for rank, (left, right, new) in enumerate(trainer.merges)
-        ],
-        "rank int, left string, right string, merged string",
-    )
-    return vocab, merges
+    return vocab, merges_table(trainer, spark)
