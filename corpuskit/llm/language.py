@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from corpuskit.llm.token_ids import text_groups
 
 UNKNOWN = "und"
-ROWS_PER_LANGUAGE = 400
+ROWS_PER_LANGUAGE = 240
 ORDER = 4
 MIN_COUNT = 6
 EVIDENCE_BYTES = 64  # a score weighs the advantage in bits of this many bytes
@@ -75,41 +75,44 @@ def grow(texts: list[bytes], labels: list[int], languages: list[str], order: int
     width_l = len(languages)
     data = np.frombuffer(b"\x00".join(texts) + b"\x00", np.uint8)
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-    language = np.repeat(np.array(labels), sizes + 1)
+    language = np.repeat(np.array(labels, np.int16), sizes + 1)
     present = np.unique(data)
     present = present[present > 0]
     symbols = np.zeros(256, np.uint8 if len(present) < 255 else np.int16)
     symbols[present] = np.arange(1, len(present) + 1)
     width = len(present) + 1
-    symbol = symbols[data].astype(np.int64)
+    symbol = symbols[data]
 
     counts = [np.zeros((2, width_l))]  # by depth: rows for its nodes; depth 0 has the dead node and the root
     parents, letters = [np.array([DEAD, DEAD])], [np.array([0, 0])]
     depth_of = [np.array([0, 0])]
     followers, kept_sum, kept_n = [], [], []
     tables = []
-    first, node = ROOT, np.full(len(data), ROOT)
+    first, node = ROOT, np.full(len(data), ROOT, np.int32)
     nodes = 2
     for depth in range(1, order + 2):
-        before = node if depth == 1 else np.append(DEAD, node[:-1])
+        before = node if depth == 1 else np.append(np.int32(DEAD), node[:-1])
         level = len(counts[-1]) - (1 if depth == 1 else 0)  # nodes that may have children here
-        alive = (before > DEAD) & (symbol > 0)
-        key = (before[alive] - first) * width + symbol[alive]
-        seen = np.stack([np.bincount(key[language[alive] == n], minlength=level * width) for n in range(width_l)], axis=1)
-        keep = np.flatnonzero((seen >= min_count).any(axis=1))
+        alive = np.flatnonzero((before > DEAD) & (symbol > 0))
+        small = np.int32 if level * width < 2**31 else np.int64
+        keys, which = np.unique((before[alive].astype(small) - small(first)) * small(width) + symbol[alive], return_inverse=True)
+        seen = np.bincount(which * width_l + language[alive], minlength=len(keys) * width_l).reshape(len(keys), width_l)
         kept = seen * (seen >= min_count)
-        followers.append(seen.reshape(level, width, width_l).sum(axis=1))
-        kept_sum.append(kept.reshape(level, width, width_l).sum(axis=1))
-        kept_n.append((kept > 0).reshape(level, width, width_l).sum(axis=1))
+        keep = np.flatnonzero(kept.any(axis=1))
+        owner = keys // width
+        for found, value in ((followers, seen), (kept_sum, kept), (kept_n, kept > 0)):
+            found.append(np.stack([np.bincount(owner, value[:, n], level) for n in range(width_l)], axis=1))
+        numbers = np.zeros(len(keys), np.int32)
+        numbers[keep] = nodes + np.arange(len(keep))
         table = np.zeros(level * width, np.int32)
-        table[keep] = nodes + np.arange(len(keep))
+        table[keys] = numbers
         tables.append(table)
         counts.append(kept[keep])
-        parents.append(first + keep // width)
-        letters.append(keep % width)
+        parents.append(first + owner[keep])
+        letters.append(keys[keep] % width)
         depth_of.append(np.full(len(keep), depth))
-        nxt = np.zeros(len(data), np.int64)
-        nxt[alive] = table[key]
+        nxt = np.zeros(len(data), np.int32)
+        nxt[alive] = numbers[which]
         first, node = nodes, nxt
         nodes += len(keep)
     inner = first  # the deepest level has no children

@@ -181,6 +181,7 @@ def train_sentencepiece(
     text: str = "text",
     doc_id: str = "doc_id",
     cross_word: bool = True,
+    seed_factor: int = ug.SEED_FACTOR,
 ) -> Tokenizer:
     """Marked-space training with either method.
 
@@ -195,5 +196,5 @@ def train_sentencepiece(
         vocab, merges = learn_merges(counts, tx.characters, vocab_size, SPECIAL_TOKENS)
         return Tokenizer("sentencepiece-bpe", vocab_size, vocab, merges)
     seeds = ug.line_counts(docs, text, doc_id) if cross_word else counts
-    vocab, unigram = ug.train(counts, seeds, vocab_size)
+    vocab, unigram = ug.train(counts, seeds, vocab_size, seed_factor=seed_factor)
     return Tokenizer("sentencepiece-unigram", vocab_size, vocab, unigram=unigram)

@@ -12,6 +12,7 @@ from corpuskit.config import SPECIAL_TOKENS, WORDPIECE_SPECIAL_TOKENS
 from corpuskit.functions import text as tx
 from corpuskit.functions.subwords import UNKNOWN_LOGP
 from corpuskit.operators import counts as ct
+from corpuskit.operators import tokenizers as tk
 from corpuskit.operators import unigram as ug
 from corpuskit.operators import vocab as vb
 from corpuskit.operators import windows as wn
@@ -20,7 +21,7 @@ from corpuskit.operators.tokenizers import Tokenizer
 from corpuskit.plans.catalog import CHUNKS, WORDS, documents, digest, digest_sql, query, rounded, table
 from corpuskit.plans.encode_queries import STREAM, vocab_and_docs, windows_sql
 from corpuskit.plans.file_queries import fresh_path
-from corpuskit.plans.vocab_queries import SPLIT_WP, counted
+from corpuskit.plans.vocab_queries import SEEDS, SPLIT_WP, counted
 from corpuskit.sources import corpus, models
 
 MARK = tx.SPACE_MARK
@@ -93,22 +94,25 @@ def model_sql(logp):
     return "map {" + ", ".join(f"{quoted(t)}: cast({p!r} as double)" for t, p in logp.items()) + "}"
 
 
-def paths_sql(source, logp, skip=None, name="best"):
+def paths_sql(source, logp, name="best", beside=""):
     """CTEs for the best path of every row (word, skip) of ``source``: ``{name}(word, skip, score, toks)``.
 
     ``sc`` and ``st`` grow by one position a step: the best score there and where its
     last piece starts.  Starts ascend, so on equal scores the longer last piece stays.
+    ``logp`` is a literal model, or the name of a map in the one-row table ``beside``.
     """
+    model = logp if isinstance(logp, str) else model_sql(logp)
+    beside = f", {beside}" if beside else ""
     lost = "'-inf'::double"
     piece = "substr(word, cast(s as integer) + 1, cast(e + 1 - s as integer))"
-    gain = f"case when {piece} = skip then null else {model_sql(logp)}[{piece}] end"
+    gain = f"case when {piece} = skip then null else {model}[{piece}] end"
     return f"""{name}_dp as (
   select word, skip, 0 as e, [cast(0 as double)] as sc, [cast(0 as bigint)] as st from {source}
   union all
   select word, skip, e + 1, list_append(sc, coalesce(list_max(c), {lost})),
     list_append(st, case when coalesce(list_max(c), {lost}) = {lost} then -1 else greatest(0, e - {tx.MAX_SUBWORD - 1}) + list_position(c, list_max(c)) - 1 end)
   from (select word, skip, e, sc, st, list_transform(range(greatest(0, e - {tx.MAX_SUBWORD - 1}), e + 1), lambda s: sc[s + 1] + {gain}) as c
-    from {name}_dp where e < length(word))),
+    from {name}_dp{beside} where e < length(word))),
 {name}_end as (select word, skip, sc[e + 1] as score, st, e from {name}_dp where e = length(word)),
 {name}_walk as (
   select word, skip, score, st, cast(e as bigint) as p, cast([] as varchar[]) as toks from {name}_end where score > {lost}
@@ -118,8 +122,8 @@ def paths_sql(source, logp, skip=None, name="best"):
 {name} as (
   select word, skip, score, toks from {name}_walk where p = 0
   union all
-  select word, skip, null, list_transform(string_split(word, ''), lambda c: case when {model_sql(logp)}[c] is null then '<UNK>' else c end)
-  from {name}_end where score = {lost})"""
+  select word, skip, null, list_transform(string_split(word, ''), lambda c: case when {model}[c] is null then '<UNK>' else c end)
+  from {name}_end{beside} where score = {lost})"""
 
 
 TURN_WORDS = f"select distinct unnest({WORDS}) as word from conversations"
@@ -232,6 +236,47 @@ def unigram_fixed_pruned(spark, sf):
     return kept.select("token", rounded(F.col("logp")).alias("logp"))
 
 
+TRAINED = 204  # as many seeds, which is four too many with the special tokens: one round of pruning
+
+
+def trained_sql(word, seed_text):
+    """Unigram training with one round: seeds, importance of their tokens, the four least important gone."""
+    docs = "(select item_id as doc_id, text from benchmark)"
+    seeds = SEEDS.replace("from documents", f"from (select doc_id, {seed_text} as text from {docs})")
+    spelled = "list_sum(list_transform(string_split(r.word, ''), lambda c: coalesce(model[c], " + repr(UNKNOWN_LOGP) + ")))"
+    return f"""with recursive {seeds},
+seeds as (select token, logp, seed_rank from ranked where seed_rank <= {TRAINED}),
+m as materialized (select map_from_entries(list({{'k': token, 'v': logp}})) as model from seeds),
+types as (select word, count(*) as freq from (select {word} as word from (select unnest({WORDS}) as w from benchmark)) group by word),
+words as (select word, '' as skip from types),
+{paths_sql('words', 'model', beside='m')},
+without as (select word, skip from (select distinct word, unnest(toks) as skip from best where score is not null) where length(skip) > 1),
+{paths_sql('without', 'model', 'rest', beside='m')},
+importance as (select r.skip as token, sum(freq * (b.score - coalesce(r.score, {spelled}))) as importance
+  from rest r join best b on b.word = r.word join types t on t.word = r.word cross join m group by r.skip),
+gone as (select token from seeds left join importance using (token) where length(token) > 1 order by coalesce(importance, 0), seed_rank limit 4)
+select token, round(logp, 6) as logp from seeds where token not in (select token from gone)
+union all select unnest(['<PAD>', '<UNK>', '<BOS>', '<EOS>']), round({UNKNOWN_LOGP!r}, 6)"""
+
+
+def model_rows(model):
+    return model.unigram.select("token", rounded(F.col("logp")).alias("logp"))
+
+
+@query("unigram_trained_once", trained_sql("w", "text"))
+def unigram_trained_once(spark, sf):
+    return model_rows(tk.train_unigram(table(spark, sf, "benchmark"), TRAINED, doc_id="item_id", seed_factor=1))
+
+
+MARKED_LINE = f"case when starts_with(text, ' ') or starts_with(text, '{MARK}') then replace(text, ' ', '{MARK}') else '{MARK}' || replace(text, ' ', '{MARK}') end"
+
+
+@query("sentencepiece_trained_once", trained_sql(f"'{MARK}' || w", MARKED_LINE))
+def sentencepiece_trained_once(spark, sf):
+    """Seeds drawn from whole lines, which may span words."""
+    return model_rows(tk.train_sentencepiece(table(spark, sf, "benchmark"), TRAINED, "unigram", doc_id="item_id", seed_factor=1))
+
+
 # --- the first merges of training ---------------------------------------------------------
 
 FIRST_MERGES = 6
@@ -309,6 +354,16 @@ def prompt_batch_sizes(spark, sf):
     return sizes.withColumn("prompts", F.lit(total).cast("bigint"))
 
 
+@query("pair_batch_totals", f"""with {STREAM}, {windows_sql('stream')}
+select count(*) * 4 as n, least(64, count(*) * 4) as batches from win""")
+def pair_batch_totals(spark, sf):
+    """Training pairs dealt to 64 batches: every pair once, no batch empty."""
+    vocab, docs = vocab_and_docs(spark, sf)
+    pairs = wn.skipgram_pairs(wn.known_word_ids(docs, vocab))
+    dealt = corpus.hashed_batches(pairs, 64, "doc_id", "pos", "slot", seed=5)
+    return dealt.agg(F.count("*").alias("n"), F.count_distinct("batch_id").alias("batches"))
+
+
 @query("negative_totals", f"""with {STREAM}, {windows_sql('stream')}
 select count(*) * 4 * 5 as n, count(distinct target) as targets, cast(0 as bigint) as positives from win""")
 def negative_totals(spark, sf):

@@ -216,3 +216,37 @@ def low_rank_update(spark, sf):
     factors = lr.truncated_svd(table, 2)
     moved = lr.low_rank_update(table, factors, np.array([[0.5, 0.1], [0.0, 0.5]]), alpha=0.5)
     return moved.select("id", rounded(vc.norm(F.col("vec"))).alias("norm"))
+
+
+# What the factors leave of the table and what they hold add up to the table, for the right factors only.
+SQUARES = "select round(sum(list_dot_product(cast(embedding as double[]), cast(embedding as double[]))), 4) as total"
+
+
+@query("low_rank_identity", f"{SQUARES}, 4 as columns from embeddings")
+def low_rank_identity(spark, sf):
+    """|W - U S Vt|^2 + |S|^2 = |W|^2, and the squares in the columns of U add up to their number."""
+    e = embeddings(spark, sf)
+    factors = lr.truncated_svd(e, 4)
+    rebuilt = factors.sigma[:, None] * factors.vt
+    rows = e.join(factors.u, "id")
+    back = [F.array(*[F.lit(float(x)) for x in row]) for row in rebuilt]
+    near = F.array_repeat(F.lit(0.0), e.select(F.max(F.size("vec"))).first()[0])
+    for n, row in enumerate(back):
+        entry = F.col("u")[n]
+        near = vc.add(near, F.transform(row, lambda x: x * entry))
+    rest = vc.subtract(vc.as_double(F.col("vec")), near)
+    held = float((factors.sigma**2).sum())
+    return rows.agg(
+        F.round(F.sum(vc.dot(rest, rest)) + held, 4).alias("total"),
+        F.round(F.sum(vc.dot(F.col("u"), F.col("u")))).cast("int").alias("columns"),
+    )
+
+
+@query("low_rank_removed", f"{SQUARES} from embeddings")
+def low_rank_removed(spark, sf):
+    """An update that takes the factors themselves away: what is left and the factors add up to the table."""
+    e = embeddings(spark, sf)
+    factors = lr.truncated_svd(e, 3)
+    left = lr.low_rank_update(e, factors, -2.0 * np.eye(3), alpha=0.5)
+    held = float((factors.sigma**2).sum())
+    return left.agg(F.round(F.sum(vc.dot(F.col("vec"), F.col("vec"))) + held, 4).alias("total"))
