@@ -154,12 +154,17 @@ def segment_lists(words: pa.Array, segment: Segmenter) -> pa.Array:
     return as_lists(flat.take(pa.array(at)), np.diff(np.concatenate(([0], row_ends))))
 
 
-def lookup_lists(tokens: pa.Array, known: pa.Array, ids: np.ndarray, default: int) -> pa.Array:
-    """list<string> of tokens to list<int> of ids, ``default`` for unknown tokens."""
-    at = pc.index_in(tokens.flatten(), value_set=known)
-    found = pc.fill_null(at, -1).to_numpy(zero_copy_only=False)
-    out = np.where(found >= 0, ids[np.maximum(found, 0)] if len(ids) else default, default)
-    return as_lists(pa.array(out.astype(np.int32)), list_lengths(tokens))
+def lookup_lists(tokens: pa.Array, known: dict[str, int], default: int) -> pa.Array:
+    """list<string> of tokens to list<int> of ids, ``default`` for unknown tokens.
+
+    Only the distinct tokens of the batch are looked up.
+    """
+    coded = tokens.flatten().dictionary_encode()
+    if isinstance(coded, pa.ChunkedArray):
+        coded = coded.combine_chunks()
+    ids = np.array([known.get(t, default) for t in coded.dictionary.to_pylist()], np.int32)
+    at = coded.indices.to_numpy(zero_copy_only=False)
+    return as_lists(pa.array(ids[at] if len(at) else ids), list_lengths(tokens))
 
 
 def cached(segment: Segmenter) -> Segmenter:

@@ -29,9 +29,10 @@ def id_lookup(vocab: pa.Table, unk_id: int = 1) -> Callable[[Column], Column]:
 
     @F.arrow_udf("array<int>")
     def lookup(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known, ids = pa.array(shared.value[0], pa.string()), shared.value[1]
+        # One table per task.
+        known = dict(zip(shared.value[0], shared.value[1].tolist()))
         for tokens in batches:
-            yield subwords.lookup_lists(tokens, known, ids, unk_id)
+            yield subwords.lookup_lists(tokens, known, unk_id)
 
     return lookup
 
@@ -78,8 +79,9 @@ def pad_batches(
 ) -> DataFrame:
     """Pad every batch to its longest row (at most ``max_length``) and add ``attention_mask``.
 
-    The longest row per batch is a partial aggregate joined back, so a large
-    batch is not gathered in one task.
+    The longest row per batch is a partial aggregate joined back by a lookup that
+    splits hot keys, so a large batch is not gathered in one task.  The ids are
+    read twice: settle them first where they are dear.
     """
     longest = encoded.groupBy(batch).agg(F.max(F.size("input_ids")).alias("_length"))
     if max_length:
@@ -87,7 +89,7 @@ def pad_batches(
     ids = F.col("input_ids")
     length = F.col("_length")
     return (
-        encoded.join(longest, batch)
+        lookup_join(encoded, longest, batch, "inner")
         .withColumn("attention_mask", arrays.mask_from_length(ids, length))
         .withColumn("input_ids", arrays.pad_ids(ids, length, pad_id))
         .drop("_length")

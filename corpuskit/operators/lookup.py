@@ -14,12 +14,14 @@ def lookup_join(
     key: str,
     how: str = "left",
     limit: int = BROADCAST_ROWS,
+    settled: bool = False,
 ) -> DataFrame:
     """Join ``rows`` to the unique-key ``table`` on ``key`` (``left``, ``inner`` or ``left_semi``).
 
-    The table is settled first, so checking its size does not compute it twice.
+    The table is written first, so that checking its size does not compute it
+    twice; ``settled`` says that it already lies in a checkpoint.
     """
-    table = cut_lineage(table)
+    table = table if settled else cut_lineage(table)
     if is_small(table, limit):
         return rows.join(F.broadcast(table), key, how)
     return salted_join(rows, table, key, how)
@@ -28,6 +30,8 @@ def lookup_join(
 def salted_join(rows: DataFrame, table: DataFrame, key: str, how: str = "left") -> DataFrame:
     """Shuffle join in which no key outgrows a task.
 
+    Adaptive execution splits skewed joins too, but not when what follows needs the
+    rows dealt by the key, as the aggregations behind most lookups here do.
     With P shuffle partitions at most P keys can hold more than 1/P of the rows.
     Their rows are dealt to several copies of the table row, in proportion to
     their share; all other keys stay as they are.

@@ -14,7 +14,6 @@ from corpuskit.config import Reprompting
 from corpuskit.functions import text as tx
 from corpuskit.operators.lookup import lookup_join
 
-TEXT_ROWS = 10_000  # rows with long texts that may be broadcast
 MISSING_FEEDBACK = "Previous attempt was incorrect."
 
 
@@ -102,7 +101,7 @@ def reprompt(
     per_batch = demonstrations(rollouts, threshold, scope).join(
         first_failures(rollouts, threshold, scope), scope, "full"
     )
-    joined = lookup_join(rollouts, per_batch, scope, limit=TEXT_ROWS)
+    joined = lookup_join(rollouts, per_batch, scope)
     best, other = F.col("best"), F.col("other")
     chosen = best
     if config.skip_own_success:

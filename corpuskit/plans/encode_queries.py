@@ -14,6 +14,7 @@ from corpuskit.plans.catalog import (
     token_rows_sql,
 )
 from corpuskit.plans.vocab_queries import CHAR_VOCAB, WORD_LEVEL_VOCAB, word_vocab_sql
+from corpuskit.session import cut_lineage
 
 CHARS = "string_split(text, '')"
 
@@ -108,7 +109,7 @@ def token_ids_by_join(spark, sf):
     """The lookup for vocabularies too large to send around: a join by token, hot tokens apart."""
     vocab = vb.word_level_vocab(table(spark, sf, "conversations", "text"))
     rows = en.token_rows(documents(spark, sf), tx.words(F.col("text")))
-    found = en.lookup_join(rows, vocab.select("token", "id"), "token", limit=1000)
+    found = en.lookup_join(rows, vocab.select("token", "id"), "token", limit=1000, settled=True)
     return found.groupBy(F.coalesce("id", F.lit(1)).alias("id")).agg(F.count("*").alias("n"))
 
 
@@ -133,7 +134,7 @@ select batch_id, doc_id, cast(n as integer) as n, {digest_sql('ids')} as ids, ca
 def padded_batches(spark, sf):
     encoded, _ = word_encoded(spark, sf)
     batches = encoded.withColumn("batch_id", F.floor(F.col("doc_id") / 16))
-    out = en.pad_batches(batches, max_length=512)
+    out = en.pad_batches(cut_lineage(batches), max_length=512)
     mask = F.col("attention_mask")
     return out.select(
         "batch_id", "doc_id", F.size(mask).alias("n"), digest(F.col("input_ids")).alias("ids"),

@@ -8,11 +8,13 @@ import zipfile
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Largest table (in rows) this library hands to broadcast() on its own.
 BROADCAST_ROWS = 1_000_000
+# Largest model table (in bytes) that is sent to the tasks to be looked up there.
+FETCH_BYTES = 256 * 2**20
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -73,15 +75,37 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(want)
 
 
-def is_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``limit`` rows (reads at most one row more)."""
-    return df.select(F.lit(1)).limit(limit + 1).count() <= limit
+def row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row takes: the length of its texts and arrays, 8 for anything else."""
+    total = F.lit(0).cast("bigint")
+    for field in df.schema:
+        column, kind = F.col(f"`{field.name}`"), field.dataType.simpleString()
+        if kind in ("string", "binary"):
+            size = F.octet_length(column)
+        elif kind == "array<string>":
+            size = F.aggregate(column, F.lit(0), lambda n, x: n + 8 + F.coalesce(F.octet_length(x), F.lit(0)))
+        elif kind.startswith("array"):
+            size = F.size(column) * 8
+        else:
+            size = F.lit(8)
+        total = total + F.coalesce(size, F.lit(0))
+    return total
+
+
+def is_small(df: DataFrame, limit: int = BROADCAST_ROWS, most_bytes: int | None = None) -> bool:
+    """True when ``df`` has at most ``limit`` rows and ``most_bytes`` bytes.
+
+    The default is what the session itself would broadcast.
+    """
+    if most_bytes is None:
+        most_bytes = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(row_bytes(df)), F.lit(0))).first()
+    return rows <= limit and size <= most_bytes
 
 
 def fetch(df: DataFrame, limit: int = BROADCAST_ROWS) -> pa.Table | None:
-    """The rows of ``df`` on the driver, or None when there are more than ``limit``.
+    """The rows of ``df`` on the driver, or None when they are more than ``limit`` or too large.
 
-    One evaluation serves both as the size check and as the data to send around.
+    Meant for settled tables: the size is checked before anything is fetched.
     """
-    table = df.limit(limit + 1).toArrow()
-    return table if table.num_rows <= limit else None
+    return df.toArrow() if is_small(df, limit, FETCH_BYTES) else None

@@ -2,30 +2,47 @@
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpuskit.operators.lookup import lookup_join
 from corpuskit.operators.numbering import dense_ids
 from corpuskit.session import spread
 
 
 def read_text(spark: SparkSession, path: str) -> DataFrame:
-    """Text files, one row per file: ``(doc_id, text)``; ids follow the file name."""
+    """Text files, one row per file: ``(doc_id, text)``; ids follow the file name.
+
+    Only the names are sorted and numbered; the texts stay where they are read.
+    """
     files = spark.read.text(path, wholetext=True).select(
         F.input_file_name().alias("path"), F.col("value").alias("text")
     )
-    return dense_ids(files, "path", id_type="bigint").select(F.col("id").alias("doc_id"), "text")
+    names = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"))
+    numbers = dense_ids(names, "path", id_type="bigint")
+    return lookup_join(files, numbers, "path", "inner", settled=True).select(F.col("id").alias("doc_id"), "text")
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Text files, one row per line, for files too large for one row: ``(doc_id, text)``."""
+    """Text files, one row per line, for files too large for one row: ``(doc_id, text)``.
+
+    A line's id is the number of lines in the splits before its own plus its place
+    in the split.  The driver sees one count per split; the texts do not move.
+    """
     lines = spark.read.text(path).select(
-        F.input_file_name().alias("path"), F.monotonically_increasing_id().alias("at"),
-        F.col("value").alias("text"),
+        F.input_file_name().alias("path"), F.input_file_block_start().alias("split"),
+        F.monotonically_increasing_id().alias("at"), F.col("value").alias("text"),
+    )
+    splits = lines.groupBy("path", "split").agg(F.min("at").alias("low"), F.count("*").alias("n"))
+    counted = sorted((r["path"], r["split"], r["low"], r["n"]) for r in splits.collect())
+    starts = accumulate([0] + [n for *_, n in counted])
+    base = spark.createDataFrame(
+        [(p, s, start - low) for (p, s, low, _), start in zip(counted, starts)], "path string, split bigint, base bigint"
     )
-    ordered = lines.withColumn("_order", F.struct("path", "at"))
-    numbered = dense_ids(ordered, "_order", id_type="bigint")
-    return numbered.select(F.col("id").alias("doc_id"), "text")
+    numbered = lines.join(F.broadcast(base), ["path", "split"])  # one row per split
+    return numbered.select((F.col("base") + F.col("at")).alias("doc_id"), "text")
 
 
 def read_documents(spark: SparkSession, path: str, *columns: str) -> DataFrame:

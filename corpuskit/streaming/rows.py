@@ -36,11 +36,15 @@ def write_available(stream: DataFrame, path: str, checkpoint: str) -> StreamingQ
 
 
 def reprompt_batches(scored: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Choose demonstrations inside each micro-batch, which counts as one batch of rollouts."""
+    """Choose demonstrations inside each micro-batch, which counts as one batch of rollouts.
+
+    A batch owns the folder ``batch_id=<number>`` and overwrites it, so a batch that
+    is replayed after a failure is not written twice.
+    """
 
     def run(batch: DataFrame, number: int) -> None:
         rows = batch.withColumn("batch_id", F.lit(number).cast("bigint"))
-        ro.reprompt(rows).write.mode("append").parquet(path)
+        ro.reprompt(rows).drop("batch_id").write.mode("overwrite").parquet(f"{path}/batch_id={number}")
 
     return (
         scored.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
