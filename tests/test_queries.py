@@ -10,8 +10,6 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
-# Training runs are covered by brute force in test_training.
-SLOW = ("training", "unigram", "sentencepiece", "wordpiece_encoded", "wordpiece_decoded", "losses")
 
 
 @pytest.fixture(scope="module")
@@ -35,8 +33,6 @@ def comparable(columns, rows):
 
 @pytest.mark.parametrize("name", sorted(catalog.oracle_sql()))
 def test_matches_sql(spark, duck, name):
-    if any(word in name for word in SLOW):
-        pytest.skip("trains a model")
     df = catalog.queries()[name](spark, SMALL)
     result = duck.execute(catalog.oracle_sql()[name])
     columns = [d[0] for d in result.description]
