@@ -23,6 +23,10 @@ ANSWER_MARKERS = ("answer is", "final answer", "result is", "equals")
 ANSWER_TAIL = rf"[{WS}]*[:=]?[{WS}]*([^\n\.]+)"
 STEP_PATTERN = "step|first|then|therefore"
 OPERATOR_PATTERN = r"[=+\-*/]"
+LENGTH_MESSAGE = ("Response length: ", " chars")
+ANSWER_MESSAGE = "Answer extracted: "
+STEPS_MESSAGE = "; Shows reasoning steps"
+OPERATORS_MESSAGE = "; Contains calculations"
 NO_ANSWER = "Could not extract final answer. Use \\boxed{} or clearly state your answer."
 
 
@@ -44,7 +48,7 @@ def pattern_reward(response: Column, pattern: str | None = None) -> Column:
             F.when(found, ANSWER_FOUND).otherwise(ANSWER_MISSING),
         )
     n = F.length(response)
-    message = F.concat(F.lit("Response length: "), n.cast("string"), F.lit(" chars"))
+    message = F.concat(F.lit(LENGTH_MESSAGE[0]), n.cast("string"), F.lit(LENGTH_MESSAGE[1]))
     return scored(F.least(n / F.lit(100.0), F.lit(1.0)), message)
 
 
@@ -87,9 +91,9 @@ def math_reward(response: Column) -> Column:
     operators = F.rlike(response, F.lit(OPERATOR_PATTERN))
     reward = F.lit(0.5) + F.when(steps, 0.3).otherwise(0.0) + F.when(operators, 0.2).otherwise(0.0)
     message = F.concat(
-        F.lit("Answer extracted: "), answer,
-        F.when(steps, "; Shows reasoning steps").otherwise(""),
-        F.when(operators, "; Contains calculations").otherwise(""),
+        F.lit(ANSWER_MESSAGE), answer,
+        F.when(steps, STEPS_MESSAGE).otherwise(""),
+        F.when(operators, OPERATORS_MESSAGE).otherwise(""),
     )
     return scored(
         F.when(has_answer, reward).otherwise(0.0), F.when(has_answer, message).otherwise(NO_ANSWER)

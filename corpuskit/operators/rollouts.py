@@ -14,6 +14,7 @@ from corpuskit.config import Reprompting
 from corpuskit.functions import text as tx
 from corpuskit.operators.lookup import lookup_join
 
+# Fixed value: the feedback of a failed answer that has none.
 MISSING_FEEDBACK = "Previous attempt was incorrect."
 
 
