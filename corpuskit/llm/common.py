@@ -2,16 +2,55 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpuskit.llm.token_ids import array_groups
 from corpuskit.session import cut_lineage
 
 
+def with_columns(
+    docs: DataFrame,
+    text: str,
+    added: dict[str, str],
+    function: Callable[..., list[pa.Array]],
+    extra: tuple[Column, ...] = (),
+    size: int = 1_000_000,
+) -> DataFrame:
+    """All columns of ``docs`` and the ``added`` ones (name to type), made from slices of texts.
+
+    ``function`` gets about ``size`` bytes of texts at a time, whole texts always,
+    and the same rows of the ``extra`` columns.  Columns of the added names are
+    replaced.  Inside, columns have numbers for names, so that none can clash, and
+    the text travels once.
+    """
+    names = [c for c in docs.columns if c not in added]
+    plain = [f"c{n}" for n in range(len(names))]
+    fed = [F.col(f"`{name}`").alias(c) for name, c in zip(names, plain)]
+    if text not in names:
+        fed.append(F.col(f"`{text}`").alias("text"))
+    at = names.index(text) if text in names else len(names)
+    n_fed = len(fed)
+    table = docs.select(*fed, *[c.alias(f"x{n}") for n, c in enumerate(extra)])
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            done = 0
+            for texts in array_groups(batch.column(at), size):
+                part = batch.slice(done, len(texts))
+                done += len(texts)
+                made = function(texts, *part.columns[n_fed:])
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(names)], *made], names=[*plain, *added])
+
+    schema = [f"{c} {table.schema[c].dataType.simpleString()}" for c in plain] + [f"{n} {t}" for n, t in added.items()]
+    out = table.mapInArrow(rows, ", ".join(schema))
+    return out.select(*[F.col(c).alias(name) for name, c in zip(names, plain)], *added)
+
+
 def whole_runs(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int = 50_000) -> Iterator[pa.Table]:
     """Tables of about ``rows`` sorted rows, cut only where the key columns change.
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 import re
 from array import array
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,12 +13,14 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuskit.llm.token_ids import Pieces, array_groups, default_path
+from corpuskit.llm.common import with_columns
+from corpuskit.llm.token_ids import Pieces, default_path
 
 SPACE = "▁"
 THETA = 0.2  # exponent of the piece weights: 0 makes all segmentations equal, larger ones prefer the likeliest
-MOST_UNITS = 300_000
+MOST_UNITS = 400_000
 TINY, LIFT = 1e-150, 1e150
+UNITS = 8_192  # filtered together
 
 
 class PieceLattice:
@@ -57,13 +58,13 @@ class PieceLattice:
             self.weight[n] = (rank + 2) ** -theta
         self.unknown = (len(ranked) + 2) ** -theta
         self.longest = max(map(len, self.ids), default=1)
-        self.build_trie()
+        self.keys: np.ndarray | None = None
         self.reset()
 
     def build_trie(self) -> None:
         """All prefixes of pieces; children in one sorted array of (node, symbol) keys."""
         letters = sorted(set("".join(self.ids)))
-        self.symbols = np.zeros(0x110000, np.int64)
+        self.symbols = np.zeros(0x110000, np.int32)
         self.symbols[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
         self.width = len(letters) + 1
         nodes = {"": 0}
@@ -91,7 +92,13 @@ class PieceLattice:
 
     def settle(self) -> None:
         """Build the lattices of the units met for the first time."""
+        if self.keys is None:
+            self.build_trie()
         fresh, self.units.fresh = self.units.fresh, []
+        for at in range(0, len(fresh), UNITS):
+            self.settle_some(fresh[at : at + UNITS])
+
+    def settle_some(self, fresh: list[str]) -> None:
         size = np.fromiter(map(len, fresh), np.int64, len(fresh))
         text = np.frombuffer("".join(fresh).encode("utf-32-le", "replace"), np.uint32).copy()
         odd = ~self.alone[text] & (text >= 128) | (text == ord(SPACE))
@@ -300,20 +307,6 @@ def lattice(path: str, theta: float) -> PieceLattice:
     return LATTICES[path, theta]
 
 
-def mapped(docs: DataFrame, drop: str, fed: dict, added: dict[str, str], rows) -> DataFrame:
-    """All columns of ``docs`` but ``drop``, passed through, and the new ones of ``rows``.
-
-    ``rows`` gets the batches and the names of the passed columns, which are plain
-    numbers inside so that no name of the table can clash.
-    """
-    names = [c for c in docs.columns if c not in (*added, drop)]
-    plain = [f"c{n}" for n in range(len(names))]
-    table = docs.select(*[F.col(f"`{n}`").alias(c) for n, c in zip(names, plain)], *[c.alias(n) for n, c in fed.items()])
-    schema = [f"{c} {table.schema[c].dataType.simpleString()}" for c in plain] + [f"{n} {t}" for n, t in added.items()]
-    out = table.mapInArrow(lambda batches: rows(batches, plain), ", ".join(schema))
-    return out.select(*[F.col(c).alias(n) for n, c in zip(names, plain)], *added)
-
-
 def encode(
     docs: DataFrame, text: str = "text", row_key: str = "doc_id", path: str | None = None, theta: float = THETA, seed: int = 0
 ) -> DataFrame:
@@ -325,32 +318,23 @@ def encode(
     """
     path = path or default_path("piece_bpe_32k.model")
 
-    def rows(batches: Iterator[pa.RecordBatch], plain: list[str]) -> Iterator[pa.RecordBatch]:
-        pieces = lattice(path, theta)
-        for batch in batches:
-            at = 0
-            for texts in array_groups(batch.column(len(plain)), 4_000_000):
-                part = batch.slice(at, len(texts))
-                at += len(texts)
-                seeds = part.column(len(plain) + 1).to_numpy().view(np.uint64)
-                found = pieces.sample(texts, seeds)
-                bounds = np.cumsum([0, *map(len, found)]).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(found)))
-                yield pa.RecordBatch.from_arrays([*part.columns[: len(plain)], ids], names=[*plain, "piece_ids"])
-
-    fed = {"_text": F.col(text), "_seed": F.xxhash64(F.col(row_key).cast("string"), F.lit(seed))}
-    return mapped(docs, "piece_ids", fed, {"piece_ids": "array<int>"}, rows)
-
-
-def decode(encoded: DataFrame, ids: str = "piece_ids", path: str | None = None, theta: float = THETA) -> DataFrame:
-    """All columns and ``decoded``: the text of the ids, exactly as it was encoded; null for null."""
-    path = path or default_path("piece_bpe_32k.model")
+    def sample(texts: pa.Array, seeds: pa.Array) -> list[pa.Array]:
+        found = lattice(path, theta).sample(texts, seeds.to_numpy().view(np.uint64))
+        bounds = np.cumsum([0, *map(len, found)]).astype(np.int32)
+        return [pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(found)))]
+
+    seeds = F.xxhash64(F.col(row_key).cast("string"), F.lit(seed))
+    return with_columns(docs, text, {"piece_ids": "array<int>"}, sample, (seeds,))
 
-    def rows(batches: Iterator[pa.RecordBatch], plain: list[str]) -> Iterator[pa.RecordBatch]:
-        pieces = lattice(path, theta)
-        for batch in batches:
-            lists = batch.column(len(plain))
-            texts = [None if x is None else pieces.decode(x.tolist()) for x in (v.values.to_numpy() if v.is_valid else None for v in lists)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(plain)], pa.array(texts, pa.string())], names=[*plain, "decoded"])
 
-    return mapped(encoded, "decoded", {"_ids": F.col(ids).cast("array<int>")}, {"decoded": "string"}, rows)
+def decode(encoded: DataFrame, ids: str = "piece_ids", path: str | None = None) -> DataFrame:
+    """All columns and ``decoded``: the text of the ids, exactly as it was encoded; null for null.
+
+    Built-in functions do it: every id becomes the bytes of its piece in hexadecimal
+    digits, and the bytes of all become the text without the blank in front.
+    """
+    model = PieceLattice(path or default_path("piece_bpe_32k.model"))
+    table = F.split(F.lit(",".join(piece.hex() for piece in model.bytes_of)), ",")  # folded to one literal
+    digits = F.array_join(F.transform(F.col(ids), lambda n: F.element_at(table, n + 1)), "")
+    text = F.decode(F.unhex(digits), "UTF-8")
+    return encoded.withColumn("decoded", F.substring(text, 2, 2**31 - 1))

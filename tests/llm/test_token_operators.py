@@ -96,6 +96,20 @@ def test_lattice_of_many_units_equals_one_by_one(corpus_texts):
         assert np.allclose(model.chance[a:b], chance, atol=2e-4)
 
 
+def test_slices_of_arrays(corpus_texts):
+    """Groups of texts are slices of a larger array."""
+    model = sampled_pieces.PieceLattice(default_path("piece_bpe_32k.model"))
+    texts = pa.array([*ODD, *corpus_texts], pa.string())
+    seeds = np.arange(len(texts)).astype(np.uint64)
+    whole = [x.tolist() for x in model.sample(texts, seeds)]
+    at, parts = 0, []
+    for group in array_groups(texts, 10_000):
+        parts += [x.tolist() for x in model.sample(group, seeds[at : at + len(group)])]
+        at += len(group)
+    assert parts == whole
+    assert [model.decode(ids) for ids in whole] == [t or "" for t in texts.to_pylist()]
+
+
 def test_sampled_pieces_are_lossless_and_reproducible(spark, odd, corpus_texts):
     encoded = sampled_pieces.encode(odd)
     assert encoded.columns == ["doc_id", "text", "length", "piece_ids"]
