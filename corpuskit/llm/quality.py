@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -10,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuskit.llm.token_ids import text_groups
+from corpuskit.llm.common import with_columns
 
 TRAINING_ROWS = 3_000
 GRAM_BITS, WORD_BITS = 14, 16
@@ -169,14 +168,15 @@ def learn(
     """Fit on a bounded sample: the ``rows`` ratings with the smallest hash of their id.
 
     Only ratings of documents count.  Null grades, ids and texts are left out; of
-    several grades for one id the lowest holds.  None if nothing is left.
+    several grades for one id the lowest holds, and of repeated ids no more than
+    ``rows`` texts in all are used.  None if nothing is left.
     """
     graded = ratings.where(F.col(grade).isNotNull() & F.col(doc_id).isNotNull())
     graded = graded.groupBy(F.col(doc_id).alias("_id")).agg(F.min(F.col(grade).cast("int")).alias("_grade"))
     present = graded.join(docs.select(F.col(doc_id).alias("_id")), "_id", "left_semi")
     chosen = present.orderBy(F.xxhash64("_id"), "_id").limit(rows)
     own = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).where(F.col("_text").isNotNull())
-    sample = own.join(F.broadcast(chosen), "_id").orderBy("_id", F.xxhash64("_text")).toArrow().to_pydict()
+    sample = own.join(F.broadcast(chosen), "_id").orderBy(F.xxhash64("_id"), F.xxhash64("_text")).limit(rows).toArrow().to_pydict()
     if not sample["_id"]:
         return None
     return fit(sample["_text"], sample["_grade"])
@@ -189,28 +189,19 @@ def graded(docs: DataFrame, model: GradeModel | None, text: str = "text", select
     Columns of these names are replaced.  Null and empty texts get the grade that
     length and bias alone give.  Without a model everything is kept with nulls.
     """
-    added = ("expected_grade", "tail_probability", "keep")
-    names = [c for c in docs.columns if c not in added]
+    added = {"expected_grade": "double", "tail_probability": "double", "keep": "boolean"}
     if model is None:
+        kept = docs.select([c for c in docs.columns if c not in added])
         nothing = F.lit(None).cast("double")
-        return docs.select(names).withColumns({added[0]: nothing, added[1]: nothing, added[2]: F.lit(True)})
+        return kept.withColumns({"expected_grade": nothing, "tail_probability": nothing, "keep": F.lit(True)})
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    plain = [f"c{n}" for n in range(len(names))]
-    fed = docs.select(*[F.col(f"`{name}`").alias(c) for name, c in zip(names, plain)], F.col(text).alias("_text"))
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(len(plain)).to_pylist()
-            for group in text_groups(texts, 2_000_000):
-                tails = sent.value.tails(texts[group])
-                tail = tails[:, select - 1] if tails.shape[1] >= select else np.zeros(len(tails))
-                columns = [batch.column(n).slice(group.start, group.stop - group.start) for n in range(len(plain))]
-                made = [pa.array(tails.sum(axis=1)), pa.array(tail), pa.array(tail >= least)]
-                yield pa.RecordBatch.from_arrays([*columns, *made], names=[*plain, *added])
-
-    kept = [f"{c} {fed.schema[c].dataType.simpleString()}" for c in plain]
-    out = fed.mapInArrow(rows, ", ".join([*kept, f"{added[0]} double, {added[1]} double, {added[2]} boolean"]))
-    return out.select(*[F.col(c).alias(name) for name, c in zip(names, plain)], *added)
+
+    def grade(texts: pa.Array) -> list[pa.Array]:
+        tails = sent.value.tails(texts.to_pylist())
+        tail = tails[:, select - 1] if tails.shape[1] >= select else np.zeros(len(tails))
+        return [pa.array(tails.sum(axis=1)), pa.array(tail), pa.array(tail >= least)]
+
+    return with_columns(docs, text, added, grade, size=500_000)
 
 
 def grades_of(labels: DataFrame) -> DataFrame:
