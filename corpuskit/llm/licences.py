@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuskit.llm.token_ids import text_groups
+from corpuskit.llm.token_ids import array_groups
 
 # Phrases and labels that every scan looks for.
 PHRASES = {
@@ -244,10 +244,10 @@ def scan(
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for group in text_groups(texts):
+            keys = iter(batch.column(0).to_pylist())
+            for texts in array_groups(batch.column(1), 1_000_000):
                 out = []
-                for key, value in zip(batch.column(0)[group.start : group.stop].to_pylist(), texts[group]):
+                for value, key in zip(texts.to_pylist(), keys):
                     words = split_words(value)
                     base, matches = model.scan(words, min_match)
                     places = [{"label": label, "start": start} for label, start in base]

@@ -6,7 +6,6 @@ import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
