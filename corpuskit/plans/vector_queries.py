@@ -198,10 +198,20 @@ def moving_average(spark, sf):
     return moved.select("id", rounded(F.col("vec")[0]).alias("first"), rounded(vc.total(F.col("vec"))).alias("total"))
 
 
-@query("random_unit_vectors")
+def draw_sql(number):
+    return f"(cast('0x' || left(md5(id || ':' || i || ':3:{number}'), 13) as bigint) + 1) / cast(4503599627370497 as double)"
+
+
+@query("random_unit_vectors", f"""with n as (select vec_id as id, i, sqrt(-2 * ln({draw_sql(0).replace('id ||', 'vec_id ||')})) * cos(2 * pi() * {draw_sql(1).replace('id ||', 'vec_id ||')}) as x
+  from embeddings, (select unnest(range(16)) as i))
+select id, cast(1 as double) as norm, round(any_value(x) filter (i = 0) / sqrt(sum(x * x)), 6) + 0.0 as first,
+  round(any_value(x) filter (i = 15) / sqrt(sum(x * x)), 6) + 0.0 as last from n group by id""")
 def random_unit_vectors_query(spark, sf):
     drawn = random_unit_vectors(embeddings(spark, sf), 16, seed=3)
-    return drawn.select("id", rounded(vc.norm(F.col("vec"))).alias("norm"))
+    vec = F.col("vec")
+    return drawn.select(
+        "id", rounded(vc.norm(vec)).alias("norm"), rounded(vec[0]).alias("first"), rounded(vec[15]).alias("last")
+    )
 
 
 @query("low_rank_factors")
