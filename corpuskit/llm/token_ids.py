@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Sequence
 from itertools import chain
 
 import numpy as np
@@ -18,8 +17,8 @@ GAP = re.compile(r"(?<=\S)(?= \S)")
 # Two white-space characters in a row, or one at an end, or the mark used for cutting.
 SPACES = r"\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 UNEVEN = f"[{SPACES}][{SPACES}]|^[{SPACES}]|[{SPACES}]$|\\x00"
-# One pre-token of Latin letters, perhaps behind a blank.
-PLAIN = re.compile("[ ]?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
+# One pre-token of Latin letters.
+PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
 # How byte-level vocabularies write bytes that are no visible Latin-1 character: as code points from 256 on.
 HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255)]
 AS_TEXT = {byte: 256 + n for n, byte in enumerate(HIDDEN)}
@@ -57,7 +56,7 @@ class PieceEncoder:
     blanks.
     """
 
-    def __init__(self, path: str, drops_space: bool, most: int = 700_000) -> None:
+    def __init__(self, path: str, drops_space: bool, most: int = 500_000) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -86,12 +85,13 @@ class PieceEncoder:
         for n, piece in enumerate(fresh):
             word = piece.rstrip(",.")
             marks = piece[len(word) :]
-            ascii_only = word.isascii()
-            if PLAIN(word) and not (self.drops_space and (word[0] == " " or not ascii_only and word != word.lower())):
-                if not ascii_only:
-                    word = word.encode().decode("latin-1").translate(AS_TEXT)
-                elif word[0] == " ":
-                    word = BLANK + word[1:]
+            core = word[1:] if word[:1] == " " and not self.drops_space else word
+            if core.isalpha() and core.isascii():
+                if core is not word:
+                    word = BLANK + core
+                found[n] = [token.id for token in tokenize(word)] + (self.marks(marks) if marks else [])
+            elif PLAIN(core) and not (self.drops_space and core != core.lower()):
+                word = word.encode().decode("latin-1").translate(AS_TEXT)
                 found[n] = [token.id for token in tokenize(word)] + (self.marks(marks) if marks else [])
             else:
                 whole.append(n)
@@ -160,19 +160,6 @@ def encoder(path: str, drops_space: bool) -> PieceEncoder:
     return ENCODERS[path, drops_space]
 
 
-def text_groups(texts: Sequence[str | None], characters: int = 4_000_000) -> list[slice]:
-    """Slices of ``texts`` with about ``characters`` in each; one long text may be more."""
-    cuts, size = [0], 0
-    for n, text in enumerate(texts):
-        size += len(text or "")
-        if size >= characters:
-            cuts.append(n + 1)
-            size = 0
-    if cuts[-1] < len(texts):
-        cuts.append(len(texts))
-    return [slice(a, b) for a, b in zip(cuts[:-1], cuts[1:])]
-
-
 def array_groups(texts: pa.Array, size: int = 8_000_000) -> list[pa.Array]:
     """Slices of an array of texts with about ``size`` bytes in each; one long text may be more."""
     total = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
