@@ -74,7 +74,7 @@ def top_k(
     """``(query_id, rank, vec_id, score)``: for the rows where ``queries`` holds, the ``k`` best others.
 
     ``queries`` is a condition on ``vec_id``.  Components become floor(scale * x);
-    the score is their integer inner product, exact in 64 bits.  Queries and rows are
+    the score is their integer inner product, exact in 64 bits (larger sums wrap around).  Queries and rows are
     dealt to blocks of bounded size by a hash; each pair of blocks is one task's
     work and sends at most ``k`` rows per query on.  Null and empty vectors, ones
     with null or non-finite components and rows without an id take no part, vectors
