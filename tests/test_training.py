@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from corpuskit.config import SPECIAL_TOKENS, WORDPIECE_SPECIAL_TOKENS
 from corpuskit.functions import subwords, text as tx
 from corpuskit.operators import counts as ct
+from corpuskit.operators import losses as ls
 from corpuskit.operators import tokenizers as tk
 from corpuskit.operators import unigram as ug
 
@@ -168,3 +169,24 @@ def test_wordpiece_segmenter():
 def test_substring_expression(spark):
     row = spark.createDataFrame([("abc",)], "w string").select(tx.substrings(F.col("w"), 2).alias("s")).first()
     assert row["s"] == ["a", "ab", "b", "bc", "c"]
+
+
+def test_ids_of_any_size_give_the_same_training(spark, corpus):
+    far = corpus.withColumn("doc_id", (F.col("doc_id") - 3) * F.lit(2**60) + F.col("doc_id"))
+    for train in (tk.train_bpe, tk.train_wordpiece):
+        near_model, far_model = train(corpus, 60), train(far, 60)
+        assert near_model.merges.collect() == far_model.merges.collect()
+    near_seeds, far_seeds = (ct.seed_subwords(ct.stripped_word_counts(d), 40).collect() for d in (corpus, far))
+    assert sorted(near_seeds) == sorted(far_seeds)
+
+
+def test_consecutive_groups_go_by_rows(spark):
+    rows = spark.createDataFrame([(7 * n - 10**15, float(n % 3)) for n in range(10)], "seq bigint, reward double").repartition(3)
+    got = {r["seq"]: r["advantage"] for r in ls.consecutive_advantages(rows, 4).collect()}
+    for start in (0, 4):
+        rewards = [n % 3 for n in range(start, start + 4)]
+        mean = sum(rewards) / 4
+        std = (sum((x - mean) ** 2 for x in rewards) / 3) ** 0.5
+        for n, x in zip(range(start, start + 4), rewards):
+            assert abs(got[7 * n - 10**15] - (x - mean) / (std + 1e-8)) < 1e-9
+    assert got[56 - 10**15] == got[63 - 10**15] == 0
