@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -10,7 +9,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpuskit.llm.token_ids import text_groups
+from corpuskit.llm.common import with_columns
+from corpuskit.operators.lookup import lookup_join
+from corpuskit.session import cut_lineage
 
 UNKNOWN = "und"
 ROWS_PER_LANGUAGE = 240
@@ -158,20 +159,23 @@ def learn(
 
     The sample is the rows with the smallest hash of id and language, so it does not
     depend on how the table is stored.  Counts per language give a bound on the hash
-    that about twice as many rows pass, so that only those meet to be ranked.  None
-    if no row has a text and a language.
+    that about twice as many rows pass, so that only those meet to be ranked.  Rows
+    with one id (or without) share a hash; of them no more stay than the sample has
+    places.  None if no row has a text and a language.
     """
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
     place = F.xxhash64(F.col(doc_id).cast("string"), F.col(lang))
     counts = known.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("_rows"))
     share = (place.cast("double") + 2.0**63) / 2.0**64
     keyed = known.select(F.col(lang).alias("lang"), F.col(text).alias("text"), place.alias("_order"), share.alias("_share"))
-    close = keyed.select("lang", "_order", "_share").join(counts, "lang").where(F.col("_share") * F.col("_rows") <= 2 * rows + 100)
+    ranks = lookup_join(keyed.select("lang", "_order", "_share"), cut_lineage(counts), "lang", "inner", settled=True)
+    close = ranks.where(F.col("_share") * F.col("_rows") <= 2 * rows + 100)
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("_order"))
     ids = close.select("lang", "_order").withColumn("_n", nth).where(F.col("_n") <= rows).select("lang", "_order").distinct()
-    # At most ``rows`` pairs of two numbers or names a language.
-    sample = keyed.join(F.broadcast(ids), ["lang", "_order"]).orderBy("lang", "_order", F.xxhash64("text"))
-    found = sample.select("lang", "text").toArrow().to_pydict()
+    # At most ``rows`` pairs of a name and a number a language; rows that share an id share a number.
+    ids = cut_lineage(ids)
+    sample = keyed.join(F.broadcast(ids), ["lang", "_order"]).orderBy("_order", "lang", F.xxhash64("text"))
+    found = sample.limit(max(1, ids.count())).select("lang", "text").toArrow().to_pydict()
     if not found["lang"]:
         return None
     languages = sorted(set(found["lang"]))
@@ -187,31 +191,19 @@ def predicted(docs: DataFrame, trees: ContextTrees | None, text: str = "text") -
     and letterless texts, and every text without a learned language, are ``und``
     with score 0.  Equal code lengths go to the language first by name.
     """
-    names = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    added = {"lang_pred": "string", "score": "double"}
     if trees is None:
-        return docs.select(names).withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
+        kept = docs.select([c for c in docs.columns if c not in added])
+        return kept.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
     sent = docs.sparkSession.sparkContext.broadcast(trees)
-    width = len(names)
-    plain = [f"c{n}" for n in range(width)]
-    fed = docs.select(
-        *[F.col(f"`{name}`").alias(c) for name, c in zip(names, plain)],
-        F.when(F.col(text).rlike(r"\p{L}"), F.col(text)).alias("_text"),
-    )
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value
-        for batch in batches:
-            texts = batch.column(width).to_pylist()
-            for group in text_groups(texts):
-                size = group.stop - group.start
-                language, score = score_texts(model, texts[group])
-                columns = [batch.column(n).slice(group.start, size) for n in range(width)]
-                added = [pa.array(language, pa.string()), pa.array(score, pa.float64())]
-                yield pa.RecordBatch.from_arrays([*columns, *added], names=[*plain, "lang_pred", "score"])
-
-    schema = ", ".join([*[f"{c} {fed.schema[c].dataType.simpleString()}" for c in plain], "lang_pred string", "score double"])
-    out = fed.mapInArrow(rows, schema)
-    return out.select(*[F.col(c).alias(name) for name, c in zip(names, plain)], "lang_pred", "score")
+
+    def predict(texts: pa.Array, letters: pa.Array) -> list[pa.Array]:
+        spoken = [t if has else None for t, has in zip(texts.to_pylist(), letters.to_pylist())]
+        language, score = score_texts(sent.value, spoken)
+        return [pa.array(language, pa.string()), pa.array(score, pa.float64())]
+
+    has_letter = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
+    return with_columns(docs, text, added, predict, (has_letter,))
 
 
 def score_texts(trees: ContextTrees, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
