@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuskit.llm.common import bounded_cells, components, large_runs, run_pairs, starts_of, whole_runs
+from corpuskit.operators.lookup import lookup_join
 from corpuskit.session import cut_lineage
 
 SEED = 42
@@ -153,14 +154,18 @@ def links(classes: DataFrame, distance: int = 4, blocks: int = BLOCKS, cell: int
 
 
 def rooted_classes(prints: DataFrame, distance: int) -> DataFrame:
-    """``(fp, root, component_id)`` of every distinct fingerprint."""
+    """``(fp, root, component_id)`` of every distinct fingerprint.
+
+    Only linked fingerprints are joined to the name of their root, by a lookup that
+    splits the roots of very large groups; the others name themselves.
+    """
     classes = cut_lineage(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    roots = components(links(classes, distance)).withColumnRenamed("node", "fp")
-    rooted = cut_lineage(
-        classes.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    )
-    names = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return rooted.join(names, "root").select("fp", "root", "component_id")
+    roots = cut_lineage(components(links(classes, distance)).withColumnRenamed("node", "fp"))
+    linked = cut_lineage(roots.join(classes, "fp").select("fp", "root", "first"))
+    names = linked.groupBy("root").agg(F.min("first").alias("component_id"))
+    named = lookup_join(linked, names, "root", "inner").select("fp", "root", "component_id")
+    alone = classes.join(roots, "fp", "left_anti").select("fp", F.col("fp").alias("root"), F.col("first").alias("component_id"))
+    return cut_lineage(named.unionByName(alone))
 
 
 def near_duplicates(
@@ -191,10 +196,15 @@ def one_of_each(
     stay = cut_lineage(
         named.join(chosen.select("root", "text_hash"), ["root", "text_hash"]).groupBy("root", "doc_id", "text_hash").agg(F.count("*").alias("n"))
     )
-    hashed = docs.withColumn("_hash", F.xxhash64(F.col(text)))
-    same = F.col(doc_id).cast("bigint").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_text"))
+    # Columns have numbers for names here, so that none can clash.
+    plain = [f"c{i}" for i in range(len(docs.columns))]
+    rows = docs.select(*[F.col(f"`{name}`").alias(c) for name, c in zip(docs.columns, plain)])
+    key, body = (plain[docs.columns.index(name)] for name in (doc_id, text))
+    hashed = rows.withColumn("_hash", F.xxhash64(body))
+    same = F.col(key).cast("bigint").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_text"))
     keys = stay.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_text"), "n")
     single = hashed.join(keys.where("n = 1"), same, "left_semi")
     # Rows that stand in the table several times are rare; only they are compared as rows.
-    several = hashed.join(keys.where("n > 1"), same, "left_semi").dropDuplicates([doc_id, "_hash"])
-    return single.unionByName(several).drop("_hash")
+    several = hashed.join(keys.where("n > 1"), same, "left_semi").dropDuplicates([key, "_hash"])
+    kept = single.unionByName(several)
+    return kept.select(*[F.col(c).alias(name) for name, c in zip(docs.columns, plain)])

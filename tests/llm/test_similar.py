@@ -65,7 +65,7 @@ def test_near_duplicate_documents(spark, texts, cell, monkeypatch):
 
 def test_documents_with_odd_ids(spark):
     rows = [(7, "a b c d e"), (7, "a b c d e"), (7, "quite another text here now"), (None, "a b c d e"), (None, "third one"), (None, "third one")]
-    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    docs = spark.createDataFrame([(*r, 1, 2, 3) for r in rows], "doc_id bigint, text string, n int, _id int, _hash int")
     assert sorted(str(r.component_id) for r in simhash.near_duplicates(docs).collect()) == ["7"] * 4 + ["None"] * 2
     assert sorted(map(str, simhash.one_of_each(docs).collect())) == sorted(
         map(str, docs.distinct().where("doc_id is not null or text = 'third one'").collect())
