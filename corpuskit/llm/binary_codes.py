@@ -24,7 +24,11 @@ SMALL_RUN = 32
 
 @dataclass
 class Rotation:
-    """Centre, principal axes and the rotation that makes the signs a good code."""
+    """Centre, principal axes and the rotation that makes the signs a good code.
+
+    The centre is the origin: links are cosines about it, and signs about any other
+    point would tell apart vectors that share a direction.
+    """
 
     mean: np.ndarray
     axes: np.ndarray
@@ -38,16 +42,15 @@ class Rotation:
 
 def learn_rotation(unit: np.ndarray, rounds: int = 50, seed: int = 7) -> Rotation:
     """Iterative quantisation: alternate between the nearest signs and the best rotation to them."""
-    mean = unit.mean(axis=0)
-    _, _, axes = np.linalg.svd(np.cov((unit - mean).T).reshape(unit.shape[1], -1))
+    _, _, axes = np.linalg.svd(unit.T @ unit / len(unit))
     axes = axes[:BITS].T
-    kept = (unit - mean) @ axes
+    kept = unit @ axes
     turn, _ = np.linalg.qr(np.random.default_rng(seed).normal(size=(axes.shape[1],) * 2))
     for _ in range(rounds):
         signs = np.where(kept @ turn > 0, 1.0, -1.0)
         left, _, right = np.linalg.svd(kept.T @ signs)
         turn = left @ right
-    return Rotation(mean, axes @ turn)
+    return Rotation(np.zeros(unit.shape[1]), axes @ turn)
 
 
 def learn(vectors: DataFrame, rows: int = SAMPLE) -> dict[int, Rotation]:
@@ -169,7 +172,7 @@ def pairs_of_cells(begin: np.ndarray, code: np.ndarray, most: int = 24, rows: in
     """Pairs of rows in one cell whose codes differ in at most ``most`` bits.
 
     The expected difference at cosine 0.95 is 6.5 of 64 bits with a deviation of
-    2.4; 24 is more than seven deviations away.
+    2.4 for planes through the origin; 24 is more than seven deviations away.
     """
     for i, j in run_pairs(begin, SMALL_RUN):
         near = np.bitwise_count(code[i] ^ code[j]) <= most

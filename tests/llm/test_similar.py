@@ -132,6 +132,32 @@ def test_near_duplicate_vectors(spark, cell):
     assert table.where(is_valid(F.col("embedding")) & F.col("vec_id").between(1000, 1009)).count() == 5
 
 
+@pytest.mark.parametrize("case", ["two", "one group", "common direction"])
+def test_near_copies_that_share_a_direction(spark, case):
+    rng = np.random.default_rng(13)
+    one = rng.normal(size=64)
+    matrix = {
+        "two": one + 0.05 * rng.normal(size=(2, 64)),
+        "one group": np.vstack([one + 0.05 * rng.normal(size=(270, 64)), rng.normal(size=(30, 64))]),
+        "common direction": 4 + np.repeat(rng.normal(size=(60, 64)), 5, axis=0) + 0.2 * rng.normal(size=(300, 64)),
+    }[case]
+    unit = binary_codes.normed(matrix)
+    link = (unit @ unit.T >= 0.95) & ~np.eye(len(unit), dtype=bool)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(matrix)], "vec_id bigint, embedding array<double>")
+    got = {r.vec_id: r for r in binary_codes.near_duplicates(table).collect()}
+    assert 0.99 * link.sum() <= sum(r.n_links for r in got.values()) <= link.sum()
+    root = brute_components(list(range(len(unit))), lambda a, b: link[a, b])
+    assert [got[i].component_id for i in range(len(unit))] == root
+
+
+def test_one_large_group_keeps_its_links():
+    rng = np.random.default_rng(14)
+    unit = binary_codes.normed(rng.normal(size=64) + 0.05 * rng.normal(size=(300, 64)))
+    codes = binary_codes.learn_rotation(unit).codes(unit)
+    differ = np.bitwise_count(codes[:, None] ^ codes[None, :])
+    assert (unit @ unit.T).min() >= 0.95 and differ.max() <= 8
+
+
 def test_rotation_is_orthogonal_and_better_than_none():
     rng = np.random.default_rng(5)
     unit = binary_codes.normed(rng.normal(size=(800, 16)) * np.linspace(3, 0.3, 16))
