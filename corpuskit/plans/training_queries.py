@@ -112,7 +112,7 @@ def pruned_unigram_vocab(spark, sf):
     return ug.prune(types, seeds, 500, ratio=0.1).select("token", rounded(F.col("logp")).alias("logp"))
 
 
-WORD_MIN_FREQ = 40  # keeps the full softmax small
+WORD_MIN_FREQ = 2
 
 
 def training_pairs(spark, sf):

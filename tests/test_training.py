@@ -2,6 +2,7 @@ import math
 
 import brute
 import pytest
+from conftest import SMALL
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from corpuskit.operators import counts as ct
 from corpuskit.operators import losses as ls
 from corpuskit.operators import tokenizers as tk
 from corpuskit.operators import unigram as ug
+from corpuskit.plans import training_queries
 
 
 def merges_of(model):
@@ -190,3 +192,12 @@ def test_consecutive_groups_go_by_rows(spark):
         for n, x in zip(range(start, start + 4), rewards):
             assert abs(got[7 * n - 10**15] - (x - mean) / (std + 1e-8)) < 1e-9
     assert got[56 - 10**15] == got[63 - 10**15] == 0
+
+
+def test_word_vectors_train_on_words_met_twice(spark):
+    docs = training_queries.documents(spark, SMALL)
+    words = docs.select(F.explode(tx.letter_words(F.col("text"))).alias("token")).groupBy("token").count().where("count >= 2")
+    vocab, size, ids = training_queries.training_pairs(spark, SMALL)
+    assert {r.token for r in words.collect()} <= {r.token for r in vocab.collect()}
+    met = ids.select(F.sum(F.size("input_ids"))).first()[0]
+    assert met == words.agg(F.sum("count")).first()[0] and size >= words.count()
