@@ -157,25 +157,26 @@ def learn(
 ) -> ContextTrees | None:
     """Trees of every language from a bounded sample: ``rows`` whole texts a language.
 
-    The sample is the rows with the smallest hash of id and language, so it does not
-    depend on how the table is stored.  Counts per language give a bound on the hash
-    that about twice as many rows pass, so that only those meet to be ranked.  Rows
-    with one id (or without) share a hash; of them no more stay than the sample has
-    places.  None if no row has a text and a language.
+    The sample is the rows with the smallest hash of id, language and text, so it does
+    not depend on how the table is stored, and rows with one id (or without) have
+    places of their own.  Copies of a whole row have one place.  The places counted
+    per language, within a few hundredths, give a bound on the hash that about twice
+    as many pass, so that only those meet to be ranked.  None if no row has a text and
+    a language.
     """
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    place = F.xxhash64(F.col(doc_id).cast("string"), F.col(lang))
-    counts = known.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("_rows"))
+    place = F.xxhash64(F.col(doc_id).cast("string"), F.col(lang), F.col(text))
+    counts = known.groupBy(F.col(lang).alias("lang")).agg(F.approx_count_distinct(place).alias("_places"))
     share = (place.cast("double") + 2.0**63) / 2.0**64
     keyed = known.select(F.col(lang).alias("lang"), F.col(text).alias("text"), place.alias("_order"), share.alias("_share"))
     ranks = lookup_join(keyed.select("lang", "_order", "_share"), cut_lineage(counts), "lang", "inner", settled=True)
-    close = ranks.where(F.col("_share") * F.col("_rows") <= 2 * rows + 100)
+    close = ranks.where(F.col("_share") * F.col("_places") <= 2 * rows + 100)
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("_order"))
-    ids = close.select("lang", "_order").withColumn("_n", nth).where(F.col("_n") <= rows).select("lang", "_order").distinct()
-    # At most ``rows`` pairs of a name and a number a language; rows that share an id share a number.
+    ids = close.select("lang", "_order").distinct().withColumn("_n", nth).where(F.col("_n") <= rows).select("lang", "_order")
+    # At most ``rows`` pairs of a name and a number a language; copies of a row share a number.
     ids = cut_lineage(ids)
-    sample = keyed.join(F.broadcast(ids), ["lang", "_order"]).orderBy("_order", "lang", F.xxhash64("text"))
-    found = sample.limit(max(1, ids.count())).select("lang", "text").toArrow().to_pydict()
+    sample = keyed.join(F.broadcast(ids), ["lang", "_order"]).groupBy("lang", "_order").agg(F.min("text").alias("text"))
+    found = sample.orderBy("_order", "lang").select("lang", "text").toArrow().to_pydict()
     if not found["lang"]:
         return None
     languages = sorted(set(found["lang"]))

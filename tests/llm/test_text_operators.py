@@ -105,6 +105,16 @@ def test_language_odd_rows(spark, odd):
     assert {r.lang_pred for r in language.predicted(odd, None).collect()} == {"und"}
 
 
+def test_language_of_rows_with_one_id(spark):
+    rows = [(n if lang == "many" else one, f"{lang} {n} {lang}", lang) for lang, one in [("many", 0), ("same", 7), ("none", None), ("also", 8)] for n in range(3_000)]
+    rows += [(9, "copied text", "copies")] * 3_000
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    trees = language.learn(docs, rows=20, min_count=1)
+    assert trees.languages == ["also", "copies", "many", "none", "same"]
+    found = language.predicted(docs.where("doc_id is null or doc_id in (7, 8, 9)"), trees)
+    assert found.where("lang_pred <> lang").count() == 0
+
+
 def test_language_sample_does_not_depend_on_storage(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     a, b = language.learn(docs, rows=20), language.learn(docs.repartition(7, "n_chars"), rows=20)
