@@ -22,7 +22,10 @@ ORACLE_SQL = None
 
 
 def grade_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are sound with probability ``SOUND`` or more, by the ratings in ``labels``."""
+    """Documents that are sound with probability ``SOUND`` or more, by the ratings in ``labels``.
+
+    Sound is grade 1 or 2: toxic documents of good quality stay.
+    """
     ship_package(spark)
     ratings = quality.grades_of(spark.read.parquet(f"{sf_dir}/labels.parquet"))
     rows = quality.graded(docs, quality.learn(docs, ratings), least=SOUND)
