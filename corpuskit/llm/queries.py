@@ -5,7 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuskit.llm import binary_codes, language, licences, packing, perspectives, quality, sampled_pieces, simhash, threshold_search, token_files
+from corpuskit.llm import (
+    binary_codes,
+    filter_audit,
+    language,
+    licences,
+    packing,
+    perspectives,
+    quality,
+    rule_cascade,
+    sampled_pieces,
+    simhash,
+    threshold_search,
+    token_files,
+    turn_repair,
+)
+from corpuskit.llm.repair_sql import REPAIR_SQL
 from corpuskit.plans.catalog import query
 
 
@@ -147,3 +162,67 @@ def packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_token_files")
 def token_file_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(read(spark, sf_dir, "documents"))
+
+
+@query("op11_turn_repair", REPAIR_SQL)
+def turn_repairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read(spark, sf_dir, "conversations")
+    return turn_repair.report(turn_repair.repaired(turns, turn_repair.damaged(turns)))
+
+
+AUDIT_SQL = r"""
+with d as (select doc_id, coalesce(source, '') as part, coalesce(text, '') as text from documents),
+w as (select *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as words, min(doc_id) over (partition by text) as least from d),
+f as (select doc_id, part, case when len(words) < 200 then 1 else 0 end
+  + case when 100 * len(list_distinct(words)) < 50 * len(words) then 2 else 0 end
+  + case when 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text) then 4 else 0 end
+  + case when regexp_matches(text, '[#$%&*|]') then 8 else 0 end
+  + case when doc_id > least then 16 else 0 end as mask from w),
+l as (select doc_id, max((quality = 1)::int) as good, max((toxic = 1)::int) as toxic from labels group by doc_id),
+c as (select part, mask, count(*) as n, coalesce(sum(good), 0) as good, coalesce(sum(toxic), 0) as toxic from f left join l using (doc_id) group by part, mask),
+x as (select unnest(['A', 'B', 'C', 'D', 'E']) as x, unnest([1, 2, 4, 8, 16]) as bit),
+p as (select a.x || b.x || c.x || d.x || e.x as filter_order from x a, x b, x c, x d, x e
+  where (a.bit | b.bit | c.bit | d.bit | e.bit) = 31),
+s as (select filter_order, step, filter_order[step] as x, (select bit from x where x.x = filter_order[step]) as own,
+  coalesce((select sum(bit) from x where contains(filter_order[:step - 1], x.x)), 0)::bigint as before from p, (select unnest(range(1, 6))::int as step)),
+r as (select part, filter_order, step, own, sum(case when mask & own = 0 and mask & before = 0 then n else 0 end) as kept,
+  sum(case when mask & own <> 0 and mask & before = 0 then n else 0 end) as removed,
+  sum(case when mask & own <> 0 and mask & before <> 0 then n else 0 end) as redundant,
+  sum(case when mask = own then n else 0 end) as unique_fails,
+  sum(case when mask & own <> 0 and mask & before = 0 then good else 0 end) as good_lost,
+  sum(case when mask & own <> 0 and mask & before = 0 then toxic else 0 end) as toxic_lost
+  from c, s group by part, filter_order, step, own)
+select part, filter_order, step, kept::bigint as kept, removed::bigint as removed, redundant::bigint as redundant,
+  unique_fails::bigint as unique_fails, good_lost::bigint as good_lost, toxic_lost::bigint as toxic_lost,
+  (sum(removed) over (partition by part, own))::bigint as shapley from r
+"""
+
+
+@query("op12_filter_audit", AUDIT_SQL)
+def filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+RULES_SQL = r"""
+with t as (select row_number() over () as k, doc_id, coalesce(text, '') as text from documents),
+w as (select *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as words,
+  list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) as lines from t),
+v as (select k, unnest(range(1, len(words) - 1)) as i, unnest(list_transform(range(1, len(words) - 1), lambda i: words[i:i + 2])) as three from w),
+a as (select k, i, count(*) over (partition by k, three) as times from v),
+c as (select k, count(distinct j) as n_repeat_words from (select k, unnest([i, i + 1, i + 2]) as j from a where times > 1) group by k),
+m as (select doc_id, len(words) as n_words, length(array_to_string(words, '')) as word_chars,
+  length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) as n_symbols, len(lines) as n_lines,
+  len(lines) - len(list_distinct(lines)) as n_dup_lines, coalesce(n_repeat_words, 0) as n_repeat_words from w left join c using (k)),
+b as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from m)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not (base_failed or 10 * n_symbols > n_words or word_chars < 3 * n_words or word_chars > 10 * n_words or 100 * n_dup_lines > 30 * n_lines) as kept
+from b
+"""
+
+
+@query("op13_rule_cascade", RULES_SQL)
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = rule_cascade.judged(docs, rule_cascade.plan(docs), report=True)
+    figures = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return rows.select("doc_id", *figures, "base_failed", "kept")
