@@ -215,7 +215,7 @@ m as (select doc_id, len(words) as n_words, length(array_to_string(words, '')) a
   len(lines) - len(list_distinct(lines)) as n_dup_lines, coalesce(n_repeat_words, 0) as n_repeat_words from w left join c using (k)),
 b as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from m)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  not (base_failed or 10 * n_symbols > n_words or word_chars < 3 * n_words or word_chars > 10 * n_words or 100 * n_dup_lines > 30 * n_lines) as kept
+  not (base_failed or 10 * n_symbols > n_words or word_chars < 3 * n_words or word_chars > 10 * n_words or 100 * n_dup_lines > 50 * n_lines) as kept
 from b
 """
 

@@ -54,7 +54,7 @@ RULES = (
     Rule("repeated_windows", ("repeated", "words"), lambda m: 100 * m["repeated"] > 50 * m["words"], base=True),
     Rule("symbols", ("symbols", "words"), lambda m: 10 * m["symbols"] > m["words"]),
     Rule("word_length", ("word_chars", "words"), lambda m: not 3 * m["words"] <= m["word_chars"] <= 10 * m["words"]),
-    Rule("repeated_lines", ("lines",), lambda m: 100 * m["lines"][1] > 30 * m["lines"][0]),
+    Rule("repeated_lines", ("lines",), lambda m: 100 * m["lines"][1] > 50 * m["lines"][0]),
 )
 
 
