@@ -166,7 +166,7 @@ def failures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", part:
     whole = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     suspects = whole.where(F.col("doc_id").isNotNull()).where(may_repeat(F.xxhash64("text")))
     firsts = suspects.groupBy("text").agg(F.min("doc_id").alias("doc_id"))
-    firsts = firsts.select("doc_id", F.xxhash64("text").alias("hash"), F.lit(True).alias("first"))
+    firsts = cut_lineage(firsts.select("doc_id", F.xxhash64("text").alias("hash"), F.lit(True).alias("first")))
     alike = tested.where("again").groupBy("doc_id", "hash", "part", "mask").agg(F.count("*").alias("n"))
     marked = alike.join(firsts.distinct(), ["doc_id", "hash"], "left")
     mask = F.col("mask") + F.when(F.col("first"), 0).otherwise(16)
