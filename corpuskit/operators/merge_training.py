@@ -1,23 +1,24 @@
 """Learning merges (byte-pair by count, WordPiece by score) over a table of word types.
 
 A merge changes the counts the next choice depends on, so the plain loop costs
-one cluster pass per merge.  Here one pass tries a whole list of guessed merges:
-tasks apply them in order and report how each changed the pair counts; Spark
-sums the changes and ranks the pairs in the state before every guess.  The
-guesses are kept up to the first one that was not the best pair of its state,
-where the true best pair is known and taken instead.  The result is the same
-as one merge at a time.
+one cluster pass per merge.  Here the totals of the pairs are kept on the driver
+(at most ``PAIRS_HELD``), and one pass tries a whole list of guessed merges: every
+task indexes its words by pair, plays the merges on the places of their pairs
+only, and reports the signed changes of the pairs around them; Spark sums the
+changes per merge.  The driver then plays the list on its exact totals.  Guesses
+are kept up to the first one that is not the best pair of its state; what is
+best there is known as well and is the first merge of the next list.  The result
+is the same as one merge at a time.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuskit.functions import pair_merging as pm
@@ -28,18 +29,19 @@ from corpuskit.operators.vocab import symbol_vocab
 from corpuskit.session import cut_lineage, spread
 
 WORD_SCHEMA = "freq bigint, first bigint, symbols array<int>"
-DELTA_SCHEMA = "step int, left int, right int, delta bigint, first bigint, offset bigint"
-RANK_SCHEMA = (
-    "state int, left int, right int, count bigint, measure double, first bigint, offset bigint, exact boolean"
-)
-GUESS_WORDS = 20_000  # word types the driver guesses from
-FEWEST_GUESSES, MOST_GUESSES = 16, 64  # merges tried in one pass
-KNOWN_PAIRS = 128  # best pairs reported per state
+CHANGE_SCHEMA = "step int, code bigint, made bigint, lost bigint, first bigint, offset bigint"
+GUESS_WORDS = 300_000  # word types the driver guesses from: the most frequent ones, and a draw from the others
+GUESS_TOP = 200_000
+FEWEST_GUESSES, MOST_GUESSES = 64, 256  # merges tried in one pass
+PAIRS_HELD = 500_000  # pairs whose totals the driver keeps
+LOOKED_UP = 2_000  # pairs whose first place is looked up in one pass
+BLOCK_SYMBOLS = 2_000_000  # symbols a task indexes at a time
 REBASE_AFTER = 256  # merges replayed per pass before the word table is written anew
-
+NEAR_TOP = 16  # pairs near the top of a guessed state whose first place is looked up there
+SYMBOL = -1  # step of rows that hold symbol weights
+MERGED = -1  # code of a row that carries how often a merge took place
 
 Merge = tuple[int, int, int]  # left, right and merged symbol id
-Pair = tuple[int, int]
 
 
 @dataclass
@@ -54,9 +56,9 @@ class Symbols:
     def copy(self) -> Symbols:
         return Symbols(list(self.tokens), list(self.sizes), dict(self.ids), self.prefix)
 
-    def merged(self, pair: Pair) -> Merge:
+    def merged(self, code: int) -> Merge:
         """Name the merged symbol; a string met before keeps its id."""
-        left, right = pair
+        left, right = code >> pm.SHIFT, code & ((1 << pm.SHIFT) - 1)
         token = self.tokens[left] + self.tokens[right].removeprefix(self.prefix)
         if token not in self.ids:
             self.ids[token] = len(self.tokens)
@@ -65,163 +67,75 @@ class Symbols:
         return left, right, self.ids[token]
 
 
-def batches_of(data: Iterator[pa.RecordBatch]) -> Iterator[pm.Batch]:
-    for record in data:
-        symbols = record.column("symbols")
-        yield pm.Batch(
-            symbols.flatten().to_numpy(zero_copy_only=False).astype(np.int64),
-            np.repeat(np.arange(len(symbols)), list_lengths(symbols)),
-            record.column("freq").to_numpy(),
-            record.column("first").to_numpy(),
-        )
+def index_of(records: list[pa.RecordBatch], sizes: np.ndarray) -> pm.PairIndex:
+    table = pa.Table.from_batches(records).combine_chunks()
+    symbols = table.column("symbols").combine_chunks()
+    symbols = symbols.chunk(0) if isinstance(symbols, pa.ChunkedArray) else symbols
+    flat = symbols.flatten().to_numpy(zero_copy_only=False)
+    freq, first = (table.column(c).to_numpy() for c in ("freq", "first"))
+    return pm.PairIndex(flat, list_lengths(symbols), freq, first, sizes)
 
 
-def as_record(batch: pm.Batch) -> pa.RecordBatch:
-    lengths = np.bincount(batch.word, minlength=len(batch.freq))
-    symbols = as_lists(pa.array(batch.flat.astype(np.int32)), lengths)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(batch.freq), pa.array(batch.first), symbols], names=["freq", "first", "symbols"]
-    )
+def blocks(data: Iterator[pa.RecordBatch], sizes: np.ndarray, merges: list[Merge]) -> Iterator[pm.PairIndex]:
+    """The words of a task in blocks, each indexed by pair, after the given merges."""
+    held, size = [], 0
 
+    def ready() -> pm.PairIndex:
+        index = index_of(held, sizes)
+        for merge in merges:
+            index.merge(*merge)
+        return index
 
-def replayed(batch: pm.Batch, merges: list[Merge]) -> pm.Batch:
-    for merge in merges:
-        batch, _ = batch.merge(*merge)
-    return batch
+    for record in data:
+        held.append(record)
+        size += len(record.column("symbols").flatten())
+        if size >= BLOCK_SYMBOLS:
+            yield ready()
+            held, size = [], 0
+    if held:
+        yield ready()
 
 
-def count_changes(
-    words: DataFrame, done: list[Merge], guesses: list[Merge],
-    sizes: list[int], with_symbols: bool,
-) -> DataFrame:
-    """Pair counts now (step 0) and their change by each guess (step 1, 2, …).
+def change_rows(steps: list[int], changes: list[pm.Changes | None]) -> pa.RecordBatch:
+    """Changes summed per step and pair; a merge also says how often it took place.
 
-    ``with_symbols`` adds the symbol counts of step 0, marked like merged weights.
+    Steps 2n + 1 are merges; steps 2n hold pairs looked up before them.
     """
-    symbol_sizes = np.array(sizes, np.int64)
-
-    def run(data: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches_of(data):
-            batch = replayed(batch, done)
-            now = pm.tally(batch, batch.pairs(), 1, symbol_sizes)
-            if with_symbols:
-                now = np.concatenate([now, pm.symbol_tally(batch)], axis=1)
-            _, deltas = pm.merge_deltas(batch, guesses, symbol_sizes)
-            per_step = [now, *deltas]
-            rows = np.concatenate(per_step, axis=1)
-            steps = np.repeat(np.arange(len(per_step)), [r.shape[1] for r in per_step])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(steps.astype(np.int32))]
-                + [pa.array(rows[i].astype(np.int32)) for i in (0, 1)]
-                + [pa.array(rows[i]) for i in (2, 3, 4)],
-                names=["step", "left", "right", "delta", "first", "offset"],
-            )
-
-    changes = words.select("freq", "first", "symbols").mapInArrow(run, DELTA_SCHEMA)
-    return changes.groupBy("left", "right", "step").agg(
-        F.sum("delta").alias("delta"),
-        F.min(ct.packed(F.col("first"), F.col("offset"), ct.AT_BITS)).alias("met"),
-    )
+    kept = [(s, c) for s, c in zip(steps, changes) if c is not None]
+    if not kept:
+        return pa.RecordBatch.from_pylist([], _schema())
+    step = np.repeat([s for s, _ in kept], [len(c.code) for _, c in kept])
+    joined = [np.concatenate([getattr(c, f) for _, c in kept]) for f in ("code", "weight", "first", "offset")]
+    rows = pm.summed(step, pm.Changes(*joined, 0))
+    done = [(s, c.merged) for s, c in kept if s % 2]
+    n = len(done)
+    marks = [np.array([s for s, _ in done], np.int64), np.full(n, MERGED), np.array([m for _, m in done], np.int64)]
+    marks += [np.zeros(n, np.int64), np.full(n, pm.NEVER), np.zeros(n, np.int64)]
+    columns = [np.concatenate([r, m]).astype(np.int64) for r, m in zip(rows, marks)]
+    return pa.RecordBatch.from_arrays([pa.array(c).cast(f.type) for c, f in zip(columns, _schema())], schema=_schema())
 
 
-def rank_states(
-    changes: DataFrame, n_states: int, keep: int, reused: list[int], symbol_freq: np.ndarray | None
-) -> list:
-    """The ``keep`` best pairs of every state, best first (at most ``keep * n_states`` rows).
+def _schema() -> pa.Schema:
+    return pa.schema([("step", pa.int32())] + [(c, pa.int64()) for c in ("code", "made", "lost", "first", "offset")])
 
-    ``symbol_freq[state, symbol]`` turns counts into scores.  A pair with a
-    ``reused`` symbol can win and lose places in one step, so its earliest
-    place is not taken as exact.
-    """
-    histories = changes.where(F.col("right") != pm.WEIGHT_MARK).groupBy("left", "right").agg(
-        F.collect_list(
-            F.struct(
-                "step", "delta",
-                ct.high_part(F.col("met"), ct.AT_BITS).alias("first"), ct.low_part(F.col("met"), ct.AT_BITS).alias("offset"),
-            )
-        ).alias("history")
-    )
 
-    def rank(data: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for record in data:
-            history = record.column("history")
-            steps = history.flatten()
-            pair = np.repeat(np.arange(len(history)), list_lengths(history))
-            columns = [
-                steps.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(4)
-            ]
-            left, right = (record.column(c).to_numpy() for c in ("left", "right"))
-            clean = ~(np.isin(left, reused) | np.isin(right, reused))
-            states = pm.running_states(pair, *columns, len(history), n_states)
-            for state, (count, first, offset, exact) in enumerate(states):
-                measure = count.astype(np.float64)
-                if symbol_freq is not None:
-                    scale = symbol_freq[state, left] * symbol_freq[state, right]
-                    measure = np.divide(measure, scale, out=np.zeros_like(measure), where=scale > 0)
-                alive = np.flatnonzero(count > 0)
-                order = np.lexsort((offset[alive], first[alive], -measure[alive]))[:keep]
-                top = alive[order]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(top), state, np.int32)),
-                        pa.array(left[top]), pa.array(right[top]),
-                        pa.array(count[top]), pa.array(measure[top]),
-                        pa.array(first[top]), pa.array(offset[top]), pa.array((exact & clean)[top]),
-                    ],
-                    names=["state", "left", "right", "count", "measure", "first", "offset", "exact"],
-                )
+def summed(partial: DataFrame) -> DataFrame:
+    """Changes of all tasks together.  First place and offset share one number, so that ``min`` stays in the hash aggregate."""
+    met = F.when(F.col("first") < pm.NEVER, ct.packed(F.col("first"), F.col("offset"), ct.AT_BITS))
+    rows = partial.groupBy("step", "code").agg(F.sum("made").alias("made"), F.sum("lost").alias("lost"), F.min(met).alias("met"))
+    return rows.select(
+        "step", "code", "made", "lost",
+        F.coalesce(ct.high_part(F.col("met"), ct.AT_BITS), F.lit(pm.NEVER)).alias("first"),
+        F.coalesce(ct.low_part(F.col("met"), ct.AT_BITS), F.lit(0)).alias("offset"),
+    )
 
-    place = F.row_number().over(
-        Window.partitionBy("state").orderBy(F.desc("measure"), "first", "offset")
-    )
-    ranked = histories.mapInArrow(rank, RANK_SCHEMA).withColumn("place", place)
-    return ranked.where(F.col("place") <= keep).orderBy("state", "place").collect()
 
-
-@dataclass
-class Outlook:
-    """A guess at the next merges.  Only speed depends on it, never the result.
-
-    The best pairs start with their exact counts; what a merge changes is scaled
-    up from a bounded sample of words.
-    """
-
-    counts: dict[Pair, float]
-    freq: dict[int, float] | None  # symbol frequencies, when pairs are ranked by score
-    sample: pm.Batch | None
-
-    def copy(self) -> Outlook:
-        return Outlook(dict(self.counts), self.freq and dict(self.freq), self.sample)
-
-    def measure(self, pair: Pair) -> float:
-        if self.freq is None:
-            return self.counts[pair]
-        scale = self.freq.get(pair[0], 0) * self.freq.get(pair[1], 0)
-        return self.counts[pair] / scale if scale > 0 else 0.0
-
-    def best(self) -> Pair | None:
-        pair = max(self.counts, key=self.measure, default=None)
-        return pair if pair and self.counts[pair] > 0 else None
-
-    def play(self, merge: Merge) -> None:
-        left, right, new = merge
-        weight = self.counts.pop((left, right), 0.0)
-        if self.freq is not None:
-            for symbol, change in ((left, -weight), (right, -weight), (new, weight)):
-                self.freq[symbol] = self.freq.get(symbol, 0.0) + change
-        if self.sample is None:
-            return
-        self.sample, (rows,) = pm.merge_deltas(self.sample, [merge], None)
-        if not rows.shape[1]:
-            return
-        scale = weight / rows[2, -1]  # the last row holds the merged weight
-        for a, b, delta in rows[:3, :-1].T.tolist():
-            if (a, b) in self.counts or new in (a, b):
-                self.counts[a, b] = self.counts.get((a, b), 0.0) + delta * scale
+def columns_of(rows: pa.Table, *names: str) -> list[np.ndarray]:
+    return [rows.column(n).to_numpy() for n in names]
 
 
 class MergeTrainer:
-    """Driver side of the training: the model so far and the next guesses."""
+    """Driver side of the training: the model so far, the pair totals and the next guesses."""
 
     def __init__(
         self,
@@ -248,96 +162,170 @@ class MergeTrainer:
         self.words = cut_lineage(spread(word_types).select("freq", "first", ids)).persist()
         self.merges: list[Merge] = []
         self.in_base = 0  # merges already applied in ``words``
-        self.sample = None
-        if not by_score:
-            frequent = self.words.orderBy(F.desc("freq"), "first").limit(GUESS_WORDS).toArrow()
-            self.sample = next(batches_of(frequent.combine_chunks().to_batches()), None)
+        self.sample = None if by_score else self.sampled()
+        self.totals = self.counted()
+
+    def indexed(self, words: DataFrame) -> pm.PairIndex | None:
+        records = words.toArrow().to_batches()
+        return index_of(records, np.array(self.symbols.sizes, np.int64)) if records else None
+
+    def sampled(self) -> pm.PairIndex | None:
+        """The most frequent words, and a draw from the others that stands for all of them."""
+        top = self.words.orderBy(F.desc("freq"), "first").limit(GUESS_TOP).toArrow()
+        if len(top) < GUESS_TOP:
+            return index_of(top.to_batches(), np.array(self.symbols.sizes, np.int64)) if len(top) else None
+        last = top.slice(len(top) - 1).to_pylist()[0]
+        rarer = (F.col("freq") < last["freq"]) | ((F.col("freq") == last["freq"]) & (F.col("first") > last["first"]))
+        others = self.words.where(rarer)
+        n, weight = others.agg(F.count("*"), F.coalesce(F.sum("freq"), F.lit(0))).first()
+        drawn = others.sample(min(1.0, (GUESS_WORDS - GUESS_TOP) / max(1, n)), seed=7).limit(GUESS_WORDS).toArrow()
+        index = index_of([*top.to_batches(), *drawn.to_batches()], np.array(self.symbols.sizes, np.int64))
+        index.freq = index.freq.astype(np.float64)
+        index.freq[len(top) :] *= weight / max(1, index.freq[len(top) :].sum())
+        return index
+
+    def tasks(self, work: Callable[[pm.PairIndex], pa.RecordBatch], symbols: Symbols | None = None) -> DataFrame:
+        """``work`` on every block of words, as they stand after the merges so far."""
+        sizes = np.array((symbols or self.symbols).sizes, np.int64)
+        todo = self.merges[self.in_base :]
 
-    def words_with(self, pairs: list[Pair], merges: list[Merge]) -> pm.Batch | None:
-        """Up to ``GUESS_WORDS`` words that hold one of the pairs after the given merges."""
-        wanted = np.array([left << 32 | right for left, right in pairs], np.int64)
-        todo = merges[self.in_base :]
+        def run(data: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for index in blocks(data, sizes, todo):
+                yield work(index)
+
+        return self.words.select("freq", "first", "symbols").mapInArrow(run, CHANGE_SCHEMA)
+
+    def counted(self) -> pm.PairTotals:
+        """Totals of all pairs now, or of the ``PAIRS_HELD`` best ones."""
+        by_score = self.by_score
+
+        def work(index: pm.PairIndex) -> pa.RecordBatch:
+            rows = change_rows([0], [index.now()])
+            if not by_score:
+                return rows
+            symbols, weight = index.symbol_weights()
+            none = np.zeros(len(symbols), np.int64)
+            more = [none.astype(np.int32) + SYMBOL, symbols, weight, none, none + pm.NEVER, none]
+            more = [pa.array(c).cast(f.type) for c, f in zip(more, _schema())]
+            table = pa.Table.from_batches([rows, pa.RecordBatch.from_arrays(more, schema=_schema())])
+            return table.combine_chunks().to_batches()[0]
+
+        rows = cut_lineage(summed(self.tasks(work)).where(F.col("code") != MERGED))
+        pairs, freq = rows.where("step = 0"), None
+        measure = F.col("made").cast("double")
+        if by_score:
+            weights = rows.where(F.col("step") == SYMBOL)
+            freq = np.zeros(len(self.symbols.tokens), np.int64)
+            symbol, weight = columns_of(weights.select("code", "made").toArrow(), "code", "made")
+            freq[symbol] = weight
+            known = F.broadcast(weights.select(F.col("code").alias("symbol"), F.col("made").alias("f")))  # one row a symbol
+            half = F.col("code").bitwiseAND((1 << pm.SHIFT) - 1)
+            pairs = pairs.join(known.toDF("_l", "_fl"), F.shiftright("code", pm.SHIFT) == F.col("_l")).join(known.toDF("_r", "_fr"), half == F.col("_r"))
+            measure = measure / (F.col("_fl").cast("double") * F.col("_fr").cast("double"))
+        top = pairs.withColumn("measure", measure).select("code", "made", "first", "offset", "measure")
+        top = top.orderBy(F.desc("measure"), "first", "offset").limit(PAIRS_HELD + 1).toArrow()
+        floor = top.column("measure")[PAIRS_HELD].as_py() if len(top) > PAIRS_HELD else 0.0
+        totals = pm.PairTotals(*columns_of(top.slice(0, PAIRS_HELD), "code", "made", "first", "offset"), freq, floor)
+        totals.symbols = len(self.symbols.tokens)
+        return totals
+
+    def words_with(self, codes: np.ndarray) -> pm.PairIndex | None:
+        """Up to ``GUESS_WORDS`` words that hold one of the pairs now."""
+        sizes = np.array(self.symbols.sizes, np.int64)
+        todo = self.merges[self.in_base :]
 
         def run(data: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches_of(data):
-                after = replayed(batch, todo)
-                at = after.pairs()
-                held = np.isin(after.flat[at] << 32 | after.flat[at + 1], wanted)
-                hit = np.zeros(len(after.freq), bool)
-                hit[after.word[at[held]]] = True
-                kept = pm.Batch(after.flat[hit[after.word]], (np.cumsum(hit) - 1)[after.word[hit[after.word]]], after.freq[hit], after.first[hit])
-                yield as_record(kept)
-
-        found = self.words.mapInArrow(run, WORD_SCHEMA).limit(GUESS_WORDS).toArrow()
-        return next(batches_of(found.combine_chunks().to_batches()), None)
-
-    def symbol_freq(self, changes: DataFrame, guesses: list[Merge], n_symbols: int) -> np.ndarray:
-        """Symbol frequencies in every state; reads one row per symbol and per guess."""
-        rows = changes.where(F.col("right") == pm.WEIGHT_MARK).select("step", "left", "delta").collect()
-        freq = np.zeros((len(guesses) + 1, n_symbols))
-        weight = {}
-        for step, symbol, n in rows:
-            if step == 0:
-                freq[0, symbol] = n
-            else:
-                weight[step] = n
-        for step, (left, right, new) in enumerate(guesses, 1):
-            freq[step] = freq[step - 1]
-            merged = weight.get(step, 0)
-            freq[step, left] -= merged
-            freq[step, right] -= merged
-            freq[step, new] += merged
-        return freq
-
-    def try_guesses(self, guesses: list[Merge], symbols: Symbols) -> tuple[list[Pair], Outlook, bool]:
-        """The merges that are certainly next, the outlook in the last state looked at, and
-        whether the last of those merges is still to be played on that outlook."""
-        known = len(self.symbols.tokens)
-        made = [new for *_, new in guesses]
-        reused = [new for i, new in enumerate(made) if new < known or new in made[:i]]
-        changes = count_changes(
-            self.words, self.merges[self.in_base :], guesses, symbols.sizes, self.by_score
-        )
-        freq = None
-        if self.by_score:
-            changes = changes.persist()
-            freq = self.symbol_freq(changes, guesses, len(symbols.tokens))
-        ranked = rank_states(changes, len(guesses) + 1, KNOWN_PAIRS, reused, freq)
-        if self.by_score:
-            changes.unpersist()
-        tops: dict[int, list] = defaultdict(list)
-        for row in ranked:
-            tops[row["state"]].append(row)
-        accepted: list[Pair] = []
-        beyond = False
-        for state in range(len(guesses) + 1):
-            top = tops[state]
-            certain = top and (
-                top[0]["exact"] or len(top) == 1 or top[1]["measure"] < top[0]["measure"]
-            )
-            if not certain:
+            for index in blocks(data, sizes, todo):
+                hit = np.zeros(len(index.freq), bool)
+                at = np.flatnonzero(index.next >= 0)
+                hit[index.word[at[np.isin(index.codes_at(at), codes)]]] = True
+                flat, lengths = index.words()
+                symbols = as_lists(pa.array(flat[np.repeat(hit, lengths)].astype(np.int32)), lengths[hit])
+                yield pa.RecordBatch.from_arrays([pa.array(index.freq[hit]), pa.array(index.first[hit]), symbols], names=["freq", "first", "symbols"])
+
+        return self.indexed(self.words.mapInArrow(run, WORD_SCHEMA).limit(GUESS_WORDS))
+
+    def guesses(self, most: int) -> tuple[list[Merge], list[np.ndarray], Symbols]:
+        """The next merges as the sampled words suggest them; only speed depends on it, never the result.
+
+        The pairs start with their exact totals, and what a merge changes is scaled up from the sample.
+        With each merge come pairs that may tie with it and whose first place should be looked up.
+        """
+        symbols, guesses, near = self.symbols.copy(), [], []
+        totals = self.totals.copy()
+        totals.count = totals.count.astype(np.float64)
+        if totals.freq is not None:
+            totals.freq = totals.freq.astype(np.float64)
+        if self.by_score and most:
+            best = np.argsort(-totals.measures())[: 4 * most]
+            self.sample = self.words_with(totals.code[best])
+        sample = self.sample.copy() if self.sample is not None else None
+        while len(guesses) < most:
+            code, ties = totals.best()
+            if code is None and len(ties):
+                at = totals.rows_of(ties)
+                code = int(ties[np.lexsort((totals.offset[at], totals.first[at]))[0]])
+            if code is None:
                 break
-            best = (top[0]["left"], top[0]["right"])
-            accepted.append(best)
-            beyond = state == len(guesses) or best != guesses[state][:2]
-            if beyond:
+            merge = symbols.merged(code)
+            guesses.append(merge)
+            near.append(totals.unsure(NEAR_TOP, within=0.02))
+            weight = float(totals.count[totals.row[code]])
+            changes = sample.merge(*merge) if sample is not None else None
+            if changes is None:
+                totals.apply(merge, weight, [np.array([code]), np.zeros(1), np.array([weight]), np.array([pm.NEVER]), np.zeros(1, np.int64)])
+                continue
+            _, codes, made, lost, first, offset = pm.summed(np.zeros(len(changes.code), np.int64), changes)
+            scale = weight / max(1, lost[np.flatnonzero(codes == code)[0]])
+            totals.apply(merge, changes.merged * scale, [codes, made * scale, lost * scale, first, offset])
+            totals.count[totals.row[code]] = max(0.0, totals.count[totals.row[code]]) if merge[0] == merge[1] else 0.0
+        return guesses, near, symbols
+
+    def tried(self, guesses: list[Merge], near: list[np.ndarray], symbols: Symbols) -> list[Merge]:
+        """Play the guesses on all words; the merges that are certainly next.
+
+        At most the changes around ``MOST_GUESSES`` merges come back, each of which touches pairs with one
+        of its three symbols only.
+        """
+        wanted = [self.totals.unsure(LOOKED_UP), *near[1:]]
+
+        def work(index: pm.PairIndex) -> pa.RecordBatch:
+            steps, changes = [], []
+            for n, (guess, codes) in enumerate(zip(guesses, wanted)):
+                steps += [2 * n, 2 * n + 1]
+                changes += [index.firsts(codes), index.merge(*guess)]
+            return change_rows(steps, changes)
+
+        rows = summed(self.tasks(work, symbols)).toArrow().sort_by("step")
+        step = rows.column("step").to_numpy()
+        values = columns_of(rows, "code", "made", "lost", "first", "offset")
+        accepted: list[Merge] = []
+        for n, guess in enumerate(guesses):
+            low, middle, high = np.searchsorted(step, [2 * n, 2 * n + 1, 2 * n + 2])
+            self.totals.found(values[0][low:middle], values[3][low:middle], values[4][low:middle])
+            code, _ = self.totals.best()
+            if code is None or code != pm.code_of(*guess[:2]):
                 break
-        outlook = Outlook(
-            {(r["left"], r["right"]): float(r["count"]) for r in tops[state]},
-            None if freq is None else dict(enumerate(freq[state].tolist())),
-            None,
-        )
-        return accepted, outlook, beyond
+            accepted.append(self.symbols.merged(code))
+            change = [v[middle:high] for v in values]
+            mark = change[0] == MERGED
+            self.totals.apply(guess, int(change[1][mark].sum()), [v[~mark] for v in change])
+        return accepted
 
     def rebase(self) -> None:
         """Write the word table anew once many merges would have to be replayed."""
         todo = self.merges[self.in_base :]
         if len(todo) < REBASE_AFTER:
             return
+        sizes = np.array(self.symbols.sizes, np.int64)
 
         def run(data: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches_of(data):
-                yield as_record(replayed(batch, todo))
+            for index in blocks(data, sizes, todo):
+                flat, lengths = index.words()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(index.freq), pa.array(index.first), as_lists(pa.array(flat.astype(np.int32)), lengths)],
+                    names=["freq", "first", "symbols"],
+                )
 
         old = self.words
         self.words = cut_lineage(old.mapInArrow(run, WORD_SCHEMA)).persist()
@@ -345,32 +333,24 @@ class MergeTrainer:
         self.in_base = len(self.merges)
 
     def run(self, n_merges: int) -> None:
-        size, outlook = 0, Outlook({}, None, None)  # the first pass only counts
+        size = FEWEST_GUESSES
         while len(self.merges) < n_merges:
-            symbols, guesses = self.symbols.copy(), []
-            ahead = outlook.copy()
-            while len(guesses) < size and (pair := ahead.best()):
-                guesses.append(symbols.merged(pair))
-                ahead.play(guesses[-1])
-            accepted, outlook, beyond = self.try_guesses(guesses, symbols)
-            if not accepted and guesses:
-                # A guess can blur the tie at the top; the counts alone decide it.
-                accepted, outlook, beyond = self.try_guesses([], self.symbols.copy())
-            if not accepted:
-                break
-            new = [self.symbols.merged(p) for p in accepted[: n_merges - len(self.merges)]]
-            looked_at = new[:-1] if beyond else new
-            if self.by_score:
-                outlook.sample = self.words_with(list(outlook.counts), self.merges + looked_at)
-            else:
-                for merge in looked_at if self.sample else ():
-                    self.sample, _ = self.sample.merge(*merge)
-                outlook.sample = self.sample
-            self.merges += new
-            if beyond:
-                outlook.play(new[-1])
-                self.sample = outlook.sample
-            size = min(max(FEWEST_GUESSES, 2 * len(accepted)), MOST_GUESSES, n_merges - len(self.merges))
+            guesses, near, symbols = self.guesses(min(size, n_merges - len(self.merges)))
+            if not guesses:
+                if not self.totals.left_out():
+                    break
+                self.totals = self.counted()  # a pair that was left out may be the best now
+                if not self.guesses(1)[0]:
+                    break
+                continue
+            accepted = self.tried(guesses, near, symbols)
+            if not self.by_score and self.sample is not None:
+                for merge in accepted:
+                    self.sample.merge(*merge)
+            self.merges += accepted
+            if not accepted and self.totals.best()[0] is None and self.totals.left_out():
+                self.totals = self.counted()
+            size = min(max(FEWEST_GUESSES, 2 * len(accepted)), MOST_GUESSES)
             self.rebase()
         self.words.unpersist()
 

@@ -49,6 +49,43 @@ def learn(types, n_merges, by_score=False, prefix=""):
     return merges
 
 
+def learn_indexed(types, n_merges, by_score=False, prefix=""):
+    """The same as ``learn``, but only words that hold the merged pair are counted again."""
+    words = [(list(t), f) for t, f in types]
+    pairs, single, where = {}, {}, {}
+
+    def count(n, sign):
+        tokens, f = words[n]
+        for t in tokens:
+            single[t] = single.get(t, 0) + sign * f
+        for p in zip(tokens, tokens[1:]):
+            pairs[p] = pairs.get(p, 0) + sign * f
+            where.setdefault(p, set()).add(n)
+
+    def met(pair):
+        for n in sorted(where[pair]):
+            found = list(zip(words[n][0], words[n][0][1:]))
+            if pair in found:
+                return n, found.index(pair)
+
+    for n in range(len(words)):
+        count(n, 1)
+    merges = []
+    while len(merges) < n_merges:
+        rate = {p: c / (single[p[0]] * single[p[1]]) if by_score else c for p, c in pairs.items() if c}
+        if not rate:
+            break
+        top = max(rate.values())
+        pair = min((p for p in rate if rate[p] == top), key=met)
+        new = pair[0] + pair[1].removeprefix(prefix)
+        merges.append((*pair, new))
+        for n in list(where[pair]):
+            count(n, -1)
+            words[n] = (glue(words[n][0], pair, new), words[n][1])
+            count(n, 1)
+    return merges
+
+
 def all_splits(word):
     if not word:
         return [[]]

@@ -59,13 +59,32 @@ def test_wordpiece_against_brute_force(corpus, texts):
     assert merges_of(tk.train_wordpiece(corpus, n_symbols + 60)) == expected
 
 
-def test_merge_training_does_not_depend_on_guesses(corpus, monkeypatch):
+@pytest.mark.parametrize("kind", ["bpe", "wordpiece"])
+def test_merge_training_does_not_depend_on_guesses(corpus, monkeypatch, kind):
     from corpuskit.operators import merge_training as mt
 
-    expected = merges_of(tk.train_bpe(corpus, 80))
-    monkeypatch.setattr(mt.Outlook, "best", lambda self: None)  # never guess
-    monkeypatch.setattr(mt, "REBASE_AFTER", 5)
-    assert merges_of(tk.train_bpe(corpus, 80)) == expected
+    train = getattr(tk, f"train_{kind}")
+    expected = merges_of(train(corpus, 85))
+    # A poor sample, few pairs on the driver, short lists, and a new word table every few merges.
+    for name, value in {"GUESS_WORDS": 5, "GUESS_TOP": 3, "PAIRS_HELD": 4, "FEWEST_GUESSES": 6, "REBASE_AFTER": 5, "BLOCK_SYMBOLS": 40, "NEAR_TOP": 1}.items():
+        monkeypatch.setattr(mt, name, value)
+    assert merges_of(train(corpus, 85)) == expected
+
+
+@pytest.mark.parametrize("kind", ["bpe", "wordpiece"])
+def test_a_thousand_tokens_on_the_given_documents(spark, kind):
+    """All merges as by counting anew after each, on the smallest documents; the word table is rewritten on the way."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    texts = [r.text for r in docs.orderBy("doc_id").collect()]
+    types = brute.tallies(brute.word_list([t or "" for t in texts], keep_space=kind == "bpe"))
+    if kind == "bpe":
+        words, prefix, special = [(list(w), f) for w, f in types.items()], "", SPECIAL_TOKENS
+    else:
+        words, prefix, special = [([w[0], *("##" + c for c in w[1:])], f) for w, f in types.items()], "##", WORDPIECE_SPECIAL_TOKENS
+    model = getattr(tk, f"train_{kind}")(docs, 1000)
+    got = merges_of(model)
+    assert model.vocab.count() == 1000 and len(got) > 2 * 256
+    assert got == brute.learn_indexed(words, len(got), kind == "wordpiece", prefix)
 
 
 def test_sentencepiece_bpe_against_brute_force(corpus, texts):
