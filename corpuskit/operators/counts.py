@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from corpuskit.functions import arrays, text as tx
+from corpuskit.operators.lookup import lookup_join
 from corpuskit.operators.numbering import dense_ids
-from corpuskit.session import cut_lineage, fetch, spread
+from corpuskit.session import cut_lineage, spread
 
 # A corpus position packed into one DECIMAL(38, 0): the document id, any BIGINT,
 # times 2^32, plus the chunk's place.  One number keeps min() inside the hash
@@ -183,89 +186,106 @@ def substring_total(word_types: DataFrame, max_len: int = tx.MAX_SUBWORD) -> Dat
     return word_types.agg(F.sum(per_word * F.col("freq")).alias("total"))
 
 
-# Substring lengths counted together; a longer one is only counted where all its
-# parts of the longest length counted before are still in the running.
-HELD_SUBSTRINGS = 500_000  # counted in a task before they go to the shuffle
-LENGTH_STEPS = ((1, 3), (4, 5), (6, 8), (9, 16))
+SUFFIX_STEPS = (5, 16)  # characters of a suffix that are looked at in each step
+BLOCK_ROWS = 400_000  # sorted suffixes whose common beginnings are counted at a time
 
 
-def substring_record(freq: dict[str, int], met: dict[str, int]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(list(freq), pa.string()),
-            pa.array(list(freq.values()), pa.int64()),
-            pa.array([met[t] for t in freq], pa.int64()),
-        ],
-        names=["token", "freq", "first"],
+def suffixes(word_types: DataFrame, size: int) -> DataFrame:
+    """``(suffix, freq, first)``: the first ``size`` characters of every suffix, each kept once."""
+    starts = F.sequence(F.lit(1), F.length("word"))
+    rows = word_types.where(F.length("word") > 0).select(
+        "freq", "first", F.explode(F.transform(starts, lambda n: F.substring("word", n, F.lit(size)))).alias("suffix")
     )
+    return rows.groupBy("suffix").agg(F.sum("freq").alias("freq"), F.min("first").alias("first"))
 
 
-def _counted_lengths(
-    word_types: DataFrame, low: int, high: int, parts: frozenset[str] | None
-) -> DataFrame:
-    """Substring counts for lengths ``low`` to ``high`` (parts have length ``low - 1``)."""
-    shared = word_types.sparkSession.sparkContext.broadcast(parts)
-
-    def ends(word: str) -> Iterator[tuple[int, int]]:
-        """Start and longest useful length at each start."""
-        reach = 0
-        for start in range(len(word) - low, -1, -1):
-            if shared.value is None:
-                yield start, high
-                continue
-            held = word[start : start + low - 1] in shared.value
-            after = word[start + 1 : start + low] in shared.value
-            reach = (reach + 1 if reach else low) if held and after else 0
-            yield start, min(reach, high)
+def code_points(texts: pa.Array, size: int) -> np.ndarray:
+    """One row of ``size`` code points a text, 0 behind its end."""
+    lengths = pc.utf8_length(texts).to_numpy().astype(np.int64)
+    points = np.frombuffer("".join(texts.to_pylist()).encode("utf-32-le", "surrogatepass"), np.uint32)
+    table = np.zeros((len(texts), size), np.uint32)
+    row = np.repeat(np.arange(len(texts)), lengths)
+    table[row, np.arange(len(points)) - np.repeat(np.cumsum(lengths) - lengths, lengths)] = points + 1
+    return table
+
+
+def common_beginnings(table: pa.Table, low: int, high: int, most: int) -> Iterator[pa.RecordBatch]:
+    """Counts of the beginnings of ``low`` to ``high`` characters of sorted suffixes, by the runs that share them.
+
+    A run inside the block is complete, so only the ``most`` most frequent ones (and their ties) go on;
+    runs at an end of the block may go on in the next one and are passed on as they are.
+    """
+    texts = table.column("suffix").combine_chunks()
+    freq, first = table.column("freq").to_numpy(), table.column("first").to_numpy()
+    points = code_points(texts, high)
+    same = np.cumprod(points[1:] == points[:-1], axis=1, dtype=bool)  # do neighbours share so many characters?
+    found = []
+    for size in range(low, high + 1):
+        held = points[:, size - 1] != 0
+        opens = np.concatenate(([True], ~same[:, size - 1])) if len(points) else np.zeros(0, bool)
+        start = np.flatnonzero(opens)
+        real = held[start]
+        count, met = np.add.reduceat(freq, start), np.minimum.reduceat(first, start)
+        border = np.zeros(len(start), bool)
+        border[[0, -1]] = True
+        found.append((np.full(int(real.sum()), size), start[real], count[real], met[real], border[real]))
+    size, start, count, met, border = (np.concatenate(x) for x in zip(*found))
+    if len(count) > most:
+        floor = np.partition(count, len(count) - most)[len(count) - most]
+        chosen = border | (count >= floor)
+        size, start, count, met = size[chosen], start[chosen], count[chosen], met[chosen]
+    for n in np.unique(size):
+        at = size == n
+        tokens = pc.utf8_slice_codeunits(texts.take(pa.array(start[at])), 0, int(n))
+        yield pa.RecordBatch.from_arrays([tokens, pa.array(count[at]), pa.array(met[at])], names=["token", "freq", "first"])
+
+
+def counted_beginnings(found: DataFrame, low: int, high: int, most: int) -> DataFrame:
+    """The most frequent beginnings of the distinct suffixes ``found``, from their sorted order."""
+    ordered = found.repartitionByRange("suffix").sortWithinPartitions("suffix")
 
     def run(data: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        freq: dict[str, int] = {}
-        met: dict[str, int] = {}
+        held, rows = [], 0
         for batch in data:
-            columns = (batch.column(c).to_pylist() for c in ("word", "freq", "first"))
-            for word, n, first in zip(*columns):
-                for start, longest in ends(word):
-                    for end in range(start + low, min(start + longest, len(word)) + 1):
-                        token = word[start:end]
-                        freq[token] = freq.get(token, 0) + n
-                        if first < met.get(token, first + 1):
-                            met[token] = first
-                if len(freq) > HELD_SUBSTRINGS:
-                    yield substring_record(freq, met)
-                    freq, met = {}, {}
-        yield substring_record(freq, met)
-
-    partial = word_types.select("word", "freq", "first").mapInArrow(
-        run, "token string, freq bigint, first bigint"
-    )
+            held.append(batch)
+            rows += batch.num_rows
+            if rows >= BLOCK_ROWS:
+                yield from common_beginnings(pa.Table.from_batches(held), low, high, most)
+                held, rows = [], 0
+        if rows:
+            yield from common_beginnings(pa.Table.from_batches(held), low, high, most)
+
+    partial = ordered.mapInArrow(run, "token string, freq bigint, first bigint")
     return partial.groupBy("token").agg(F.sum("freq").alias("freq"), F.min("first").alias("first"))
 
 
 def frequent_substrings(word_types: DataFrame, size: int, max_len: int = tx.MAX_SUBWORD) -> DataFrame:
     """``(token, freq, first)``: at least the ``size`` most frequent substrings, ties included.
 
-    A substring is never more frequent than its parts, so lengths are counted
-    step by step and those that can no longer reach the top are never built.
+    A substring begins some suffix, so sorted suffixes hold its occurrences side by side: counts are sums
+    over runs of suffixes with a common beginning.  A substring is never more frequent than its own
+    beginning, so longer ones are only looked for in suffixes whose first characters can reach the top.
     """
     found: DataFrame | None = None
-    floor, parts = 1, None
-    for low, high in LENGTH_STEPS:
-        if low > max_len:
+    floor, done = 1, 0
+    for reach in SUFFIX_STEPS:
+        high = min(reach, max_len)
+        if high <= done:
             break
-        high = min(high, max_len)
-        step = cut_lineage(
-            _counted_lengths(word_types, low, high, parts).where(F.col("freq") >= floor)
-        )
+        rows = word_types
+        if done:
+            rows = rows.where(F.length("word") > done)
+        rows = suffixes(rows, high)
+        if done:
+            alive = found.where((F.length("token") == done) & (F.col("freq") >= floor)).select(F.col("token").alias("_begin"))
+            rows = rows.where(F.length("suffix") > done).withColumn("_begin", F.substring("suffix", 1, done))
+            rows = lookup_join(rows, alive, "_begin", "left_semi").drop("_begin")
+        step = cut_lineage(counted_beginnings(rows, done + 1, high, size).where(F.col("freq") >= floor))
         found = step if found is None else found.unionByName(step)
         top = found.orderBy(F.desc("freq")).limit(size)
         n, last = top.agg(F.count(F.lit(1)), F.min("freq")).first()
         floor = last if n == size else 1
-        longest = step.where((F.length("token") == high) & (F.col("freq") >= floor))
-        held = fetch(longest.select("token"))
-        # Too many to send around: count the next lengths without leaving any out.
-        parts = None if held is None else frozenset(held.column("token").to_pylist())
-        if held is not None and not parts:
-            break
+        done = high
     return found.where(F.col("freq") >= floor)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from corpuskit.config import SPECIAL_TOKENS
 from corpuskit.functions import text as tx
 from corpuskit.functions.subwords import (
-    UNKNOWN_LOGP, best_path, best_reach, unigram_segmenter, word_edges,
+    UNKNOWN_LOGP, best_path, best_reach, list_lengths, unigram_segmenter, word_edges,
 )
 from corpuskit.operators import counts as ct
 from corpuskit.operators.vocab import symbol_vocab
@@ -52,6 +53,76 @@ def corpus_loss(word_types: DataFrame, logp: dict[str, float]) -> DataFrame:
     )
 
 
+def word_gains(word: str, freq: int, model: dict[str, float]) -> tuple[set[str], dict[str, float]]:
+    """What taking each token off the word's best path costs, and all tokens these figures rest on.
+
+    The figures hold as long as none of those tokens is taken away: those of the
+    best path, and those of the best paths without one of its tokens.  Single
+    characters stay in every model and are left out.
+    """
+    edges = word_edges(word, model)
+    reach = best_reach(edges)
+    path = best_path(reach)
+    if path is None:
+        return set(), {}  # already spelled in characters: no single token matters
+    gains = dict.fromkeys(t for t in path if len(t) > 1)
+    used = set(gains)
+    for token in gains:
+        # Nothing changes before the token first ends.
+        other = best_reach(edges, token, reach[: word.find(token) + len(token)])
+        score, start, _ = other[-1]
+        left = -path_loss(list(word), model) if start < 0 else score
+        gains[token] = freq * (reach[-1][0] - left)
+        used.update(t for t in best_path(other) or () if len(t) > 1)
+    return used, gains
+
+
+STATE = "word string, freq bigint, used array<int>, tokens array<int>, gains array<double>"
+
+
+def settled_gains(words: DataFrame, tokens: list[str], logp: dict[str, float], removed: list[int] | None) -> DataFrame:
+    """The gains of every word (``STATE``; tokens as places in ``tokens``) under the model ``logp``.
+
+    With ``removed``, ``words`` are the gains before those tokens were taken
+    away: words that do not rest on them are passed on as they are.
+    """
+    shared = words.sparkSession.sparkContext.broadcast((tokens, logp, removed))
+
+    def run(data: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, model, away = shared.value
+        place = {t: n for n, t in enumerate(names)}
+        gone = np.zeros(len(names) + 1, bool)
+        gone[away or []] = True
+        for batch in data:
+            stale = np.ones(batch.num_rows, bool)
+            if away is not None:
+                used = batch.column("used")
+                row = np.repeat(np.arange(len(used)), list_lengths(used))
+                hit = gone[used.flatten().to_numpy(zero_copy_only=False)]
+                stale = np.bincount(row[hit], minlength=len(used)) > 0
+                if not stale.all():
+                    yield batch.filter(pa.array(~stale))
+            anew = batch.filter(pa.array(stale))
+            rows = []
+            for word, freq in zip(*(anew.column(c).to_pylist() for c in ("word", "freq"))):
+                used, gains = word_gains(word, freq, model)
+                # Special tokens are no seeds: they never leave the model.
+                gains = {t: g for t, g in gains.items() if t in place}
+                rows.append(([place[t] for t in used if t in place], [place[t] for t in gains], list(gains.values())))
+            kinds = (pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.float64()))
+            made = [pa.array([r[n] for r in rows], kind) for n, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([anew.column("word"), anew.column("freq"), *made], names=["word", "freq", "used", "tokens", "gains"])
+
+    columns = ["word", "freq"] if removed is None else ["word", "freq", "used", "tokens", "gains"]
+    return words.select(*columns).mapInArrow(run, STATE)
+
+
+def summed_gains(state: DataFrame) -> DataFrame:
+    """``(token, importance)`` by place; at most one row a token of the model."""
+    pairs = state.select(F.explode(F.arrays_zip("tokens", "gains")).alias("pair"))
+    return pairs.groupBy(F.col("pair.tokens").alias("token")).agg(F.sum("pair.gains").alias("importance"))
+
+
 def token_importance(word_types: DataFrame, logp: dict[str, float]) -> DataFrame:
     """``(token, importance)``: how much the corpus loss grows when the token is taken away.
 
@@ -59,45 +130,11 @@ def token_importance(word_types: DataFrame, logp: dict[str, float]) -> DataFrame
     segmented again once per distinct multi-character token on its path.
     Tokens on no path are absent; their importance is 0.
     """
-    shared = word_types.sparkSession.sparkContext.broadcast(logp)
-
-    def run(data: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        for batch in data:
-            gains: dict[str, list[float]] = {}
-            for word, freq in zip(*(batch.column(c).to_pylist() for c in ("word", "freq"))):
-                edges = word_edges(word, model)
-                reach = best_reach(edges)
-                path = best_path(reach)
-                if path is None:
-                    continue  # already spelled in characters: no single token matters
-                for token in {t for t in path if len(t) > 1}:
-                    # Nothing changes before the token first ends.
-                    same = reach[: word.find(token) + len(token)]
-                    score, start, _ = best_reach(edges, token, same)[-1]
-                    left = -path_loss(list(word), model) if start < 0 else score
-                    gains.setdefault(token, []).append(freq * (reach[-1][0] - left))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(list(gains), pa.string()),
-                    pa.array([math.fsum(g) for g in gains.values()], pa.float64()),
-                ],
-                names=["token", "importance"],
-            )
-
-    gains = word_types.select("word", "freq").mapInArrow(run, "token string, importance double")
-    return gains.groupBy("token").agg(F.sum("importance").alias("importance"))
-
-
-def least_important(
-    importance: DataFrame, seeds: DataFrame, special: dict[str, int], n: int
-) -> list[str]:
-    """The ``n`` multi-character tokens whose loss would hurt least; seed order breaks ties."""
-    weighed = seeds.where((F.length("token") > 1) & ~F.col("token").isin(list(special))).join(
-        importance, "token", "left"
-    )
-    rows = weighed.orderBy(F.coalesce("importance", F.lit(0.0)), "seed_rank").limit(n)
-    return [r["token"] for r in rows.select("token").collect()]
+    tokens = list(logp)
+    found = summed_gains(settled_gains(word_types, tokens, logp, None))
+    names = found.sparkSession.createDataFrame(list(enumerate(tokens)), "place int, name string")
+    joined = found.join(F.broadcast(names), F.col("token") == F.col("place"))  # one row a token of the model
+    return joined.select(F.col("name").alias("token"), "importance")
 
 
 def prune(
@@ -111,26 +148,29 @@ def prune(
 
     ``seeds`` is ``(token, logp, seed_rank)`` without the special tokens, which
     count towards the size and are never removed, like single characters.
+
+    The gains of all words are kept in a table over the rounds.  A round looks
+    again only at words whose figures rest on a token that was taken away.  Seed
+    order breaks ties.
     """
-    logp = model_dict(seeds)
-    kept = seeds.select("token", "logp", "seed_rank").persist()
+    logp = model_dict(seeds.orderBy("seed_rank"))
+    tokens = list(logp)
     shield = {t: UNKNOWN_LOGP for t in special}
+    state, removed = word_types, None
     while len(logp) + len(special) > target:
-        removable = sum(1 for t in logp if len(t) > 1)
+        removable = [n for n, t in enumerate(tokens) if len(t) > 1 and t in logp and t not in special]
         if not removable:
             break
-        n = min(max(1, int(removable * ratio)), len(logp) + len(special) - target)
-        importance = token_importance(word_types, {**shield, **logp})
-        alive = kept.where(F.col("token").isin(list(logp))) if len(logp) <= 1000 else kept.join(
-            F.broadcast(kept.sparkSession.createDataFrame([(t,) for t in logp], "token string")),
-            "token", "left_semi",
-        )
-        for token in least_important(importance, alive, special, n):
-            del logp[token]
-    spark = word_types.sparkSession
+        n = min(max(1, int(len(removable) * ratio)), len(logp) + len(special) - target)
+        state = cut_lineage(settled_gains(state, tokens, {**shield, **logp}, removed))
+        found = summed_gains(state).toArrow()
+        importance = np.zeros(len(tokens))
+        importance[found.column("token").to_numpy()] = found.column("importance").to_numpy()
+        removed = sorted(removable, key=lambda t: (importance[t], t))[:n]
+        for token in removed:
+            del logp[tokens[token]]
     rows = [(t, UNKNOWN_LOGP) for t in special] + list(logp.items())
-    kept.unpersist()
-    return spark.createDataFrame(rows, "token string, logp double")
+    return word_types.sparkSession.createDataFrame(rows, "token string, logp double")
 
 
 def train(

@@ -17,7 +17,7 @@ from corpuskit.operators import vocab as vb
 from corpuskit.operators import windows as wn
 from corpuskit.plans.catalog import WORDS, digest, documents, query, rounded
 
-BPE_SIZE, PIECE_SIZE, UNIGRAM_SIZE = 1000, 1000, 300
+BPE_SIZE, PIECE_SIZE, UNIGRAM_SIZE = 1000, 1000, 1000
 TRAINERS = {
     "bpe": lambda docs: tk.train_bpe(docs, BPE_SIZE),
     "wordpiece": lambda docs: tk.train_wordpiece(docs, PIECE_SIZE),
