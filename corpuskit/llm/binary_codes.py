@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from corpuskit.llm.common import bounded_cells, components, large_runs, run_pairs, starts_of, whole_runs
 from corpuskit.llm.vectors import by_length, valid_vectors
+from corpuskit.operators.lookup import lookup_join
 from corpuskit.session import cut_lineage
 
 SAMPLE = 5_000
@@ -79,7 +80,7 @@ def coded(vectors: DataFrame, rotations: dict[int, Rotation]) -> DataFrame:
                 code[at] = turn.codes(normed(matrix))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(code.view(np.int64))], names=[*batch.schema.names, "code"])
 
-    return vectors.mapInArrow(rows, "first bigint, n bigint, vec array<double>, code bigint")
+    return vectors.mapInArrow(rows, "class bigint, first bigint, n bigint, vec array<double>, code bigint")
 
 
 def table_bits() -> list[int]:
@@ -107,15 +108,15 @@ def first_meeting(a: np.ndarray, b: np.ndarray, table: np.ndarray, masks: np.nda
 
 
 def linked(classes: DataFrame, least: float, cell: int = CELL) -> tuple[DataFrame, DataFrame]:
-    """Link counts ``(first, links)`` and links ``(u, v)`` that connect each component.
+    """Link counts ``(class, links)`` and links ``(u, v)`` that connect each component of classes.
 
     Vectors meet where their codes agree in one of the Hamming tables.  Cells are
     bounded; a cell's vectors are compared inside the task, first by the distance
     of the codes, then by cosine, and only sums and spanning links leave it.
     """
     masks = np.array(table_bits(), np.uint64)
-    rows = classes.select("first", "n", "vec", "code", F.explode(table_keys(F.col("code"))).alias("k"))
-    members = rows.select("k.t", "k.key", "first", "n", "code", "vec")
+    rows = classes.select("class", "n", "vec", "code", F.explode(table_keys(F.col("code"))).alias("k"))
+    members = rows.select("k.t", "k.key", "class", "n", "code", "vec")
     cells = bounded_cells(members, ["t", "key"], cell)
     keys = ["t", "key", "_a", "_b"]
 
@@ -128,7 +129,7 @@ def linked(classes: DataFrame, least: float, cell: int = CELL) -> tuple[DataFram
             table, begin = table.take(met), begin[met]
             number = np.arange(len(met))
             code = table.column("code").to_numpy().view(np.uint64)
-            first, n, t, a, b, own = (table.column(c).to_numpy() for c in ("first", "n", "t", "_a", "_b", "_own"))
+            name, n, t, a, b, own = (table.column(c).to_numpy() for c in ("class", "n", "t", "_a", "_b", "_own"))
             matrix, place = {}, np.zeros(len(met), np.int64)
             size = np.zeros(len(met), np.int64)
             for at, part in by_length(table.column("vec")):
@@ -155,16 +156,16 @@ def linked(classes: DataFrame, least: float, cell: int = CELL) -> tuple[DataFram
             p, q = spanning(u, v, number)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.concatenate([first[at], first[p]])),
+                    pa.array(np.concatenate([name[at], name[p]])),
                     pa.array(np.concatenate([links[at].astype(np.int64), np.zeros(len(p), np.int64)])),
-                    pa.array(np.concatenate([first[at], first[q]])),
+                    pa.array(np.concatenate([name[at], name[q]])),
                 ],
                 names=["u", "links", "v"],
             )
 
     dealt = cells.repartition(*keys).sortWithinPartitions(*keys)
     found = cut_lineage(dealt.mapInArrow(compare, "u bigint, links bigint, v bigint"))
-    counts = found.where("links > 0").groupBy(F.col("u").alias("first")).agg(F.sum("links").alias("links"))
+    counts = found.where("links > 0").groupBy(F.col("u").alias("class")).agg(F.sum("links").alias("links"))
     return counts, found.where("u <> v").select("u", "v")
 
 
@@ -211,18 +212,24 @@ def near_duplicates(
     Null, empty and zero vectors, ones with null or non-finite components and rows
     without an id link with nothing.  Vectors of different lengths are never linked.
     Rows with equal vectors are one class and linked with each other; a repeated id
-    counts as often as it stands in the table.
+    counts as often as it stands in the table, and different vectors under one id
+    are told apart.
     """
     all_ids = table.select(F.col(vec_id).cast("bigint").alias("vec_id"), F.col(vector).cast("array<double>").alias("vec"))
     usable = valid_vectors(table, vec_id, vector).where(F.exists("vec", lambda x: x != 0))
-    classes = usable.groupBy("vec").agg(F.min("vec_id").alias("first"), F.count("*").alias("n")).select("first", "n", "vec")
+    classes = usable.groupBy("vec").agg(F.min("vec_id").alias("first"), F.count("*").alias("n"))
+    # Numbered, since two different vectors may stand under one id; written once, so that the numbers hold.
+    classes = classes.select(F.monotonically_increasing_id().alias("class"), "first", "n", "vec")
     classes = cut_lineage(coded(classes, learn(usable, sample)))
     counts, links = linked(classes, least, cell)
-    roots = components(links).withColumnRenamed("node", "first")
+    roots = components(links).withColumnRenamed("node", "class")
+    members = cut_lineage(roots.join(classes.select("class", "first"), "class"))
+    names = members.groupBy("root").agg(F.min("first").alias("component_id"))
+    named = lookup_join(members, names, "root", "inner").select("class", "component_id")
     named = (
-        classes.join(counts, "first", "left")
-        .join(roots, "first", "left")
-        .select("vec", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("root", "first").alias("component_id"))
+        classes.join(counts, "class", "left")
+        .join(named, "class", "left")
+        .select("vec", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component_id", "first").alias("component_id"))
     )
     rows = all_ids.withColumn("vec", F.when(F.col("vec_id").isNotNull(), F.col("vec")))
     out = rows.join(named, "vec", "left").select(

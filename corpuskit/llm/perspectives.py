@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpuskit.operators.numbering import dense_ids
+from corpuskit.session import cut_lineage
+
 END = "<|end|>"
 UNKNOWN = "unknown"
 TURNS_PER_BUCKET = 256
@@ -38,9 +41,11 @@ def segments(
 
     A null or blank role speaks as ``unknown``, a null text is empty, a null turn
     comes first, null conversation ids are one conversation.  Equal turn numbers are
-    ordered by speaker and text; repeated rows are repeated turns.  Places come from
-    sums per stretch of ``TURNS_PER_BUCKET`` turn numbers and a running total of the
-    stretches, so a conversation of any length is spread over tasks.
+    ordered by speaker and text; repeated rows are repeated turns.  Turns are numbered
+    in that order over the whole table, and places come from sums per stretch of
+    ``TURNS_PER_BUCKET`` numbers and a running total of the stretches, so a conversation
+    of any length is spread over tasks, equal or null turn numbers included.  A name in
+    a header is written as in a URL, so that names stay apart.
     """
     said = turns.select(
         F.col(conv_id).alias("conv_id"),
@@ -48,9 +53,12 @@ def segments(
         F.coalesce(F.nullif(F.trim(F.col(role)), F.lit("")), F.lit(UNKNOWN)).alias("speaker"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
+    order = F.struct("conv_id", "turn", "speaker", F.left("text", F.lit(200)), F.sha2("text", 256), F.monotonically_increasing_id())
+    # Written first: the tie number must not change when a task runs again.
+    said = dense_ids(cut_lineage(said).withColumn("_order", order), "_order", id_type="bigint").drop("_order")
     people = said.where(F.col("speaker") != system).select(F.col("conv_id").alias("_conv"), F.col("speaker").alias("perspective")).distinct()
     seen = said.join(people, F.col("conv_id").eqNullSafe(F.col("_conv"))).drop("_conv")
-    name = F.regexp_replace("speaker", r"[^\p{L}\p{N}_.-]", "_")
+    name = F.replace(F.replace(F.replace(F.url_encode("speaker"), F.lit("+"), F.lit("%20")), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
     own = F.col("speaker") == F.col("perspective")
     header = (
         F.when(F.col("speaker") == system, F.lit("<|system|>\n"))
@@ -65,14 +73,15 @@ def segments(
         own.alias("_own"),
         F.length(header).alias("_header"),
         F.concat(header, escaped(F.col("text")), F.lit(END + "\n")).alias("segment"),
-        F.floor(F.col("turn") / TURNS_PER_BUCKET).alias("_bucket"),
+        "id",
+        F.floor(F.col("id") / TURNS_PER_BUCKET).alias("_bucket"),
     ).withColumn("chars", F.length("segment").cast("bigint"))
     dialogue = ["conv_id", "perspective"]
-    inside = Window.partitionBy(*dialogue, "_bucket").orderBy(F.asc_nulls_first("turn"), "speaker", "segment")
+    inside = Window.partitionBy(*dialogue, "_bucket").orderBy("id")
     before = inside.rowsBetween(Window.unboundedPreceding, -1)
     placed = made.withColumn("_start", F.coalesce(F.sum("chars").over(before), F.lit(0)))
     stretches = made.groupBy(*dialogue, "_bucket").agg(F.sum("chars").alias("_chars"))
-    earlier = Window.partitionBy(*dialogue).orderBy(F.asc_nulls_first("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*dialogue).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     bases = stretches.select(
         F.col("conv_id").alias("_conv"),
         F.col("perspective").alias("_who"),
@@ -83,7 +92,7 @@ def segments(
         bases,
         F.col("conv_id").eqNullSafe(F.col("_conv"))
         & (F.col("perspective") == F.col("_who"))
-        & F.col("_bucket").eqNullSafe(F.col("_stretch")),
+        & (F.col("_bucket") == F.col("_stretch")),
     )
     start = F.col("_base") + F.col("_start")
     return based.select(

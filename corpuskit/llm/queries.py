@@ -114,7 +114,7 @@ with said as (select conv_id, turn, coalesce(nullif(trim(role), ''), 'unknown')
 people as (select distinct conv_id, speaker as perspective from said where speaker <> 'system'),
 heads as (select conv_id, turn, speaker, perspective, speaker = perspective as own, text,
     case when speaker = 'system' then '<|system|>' when speaker = perspective then '<|assistant|>'
-      else '<|user name=' || regexp_replace(speaker, '[^\p{L}\p{N}_.-]', '_', 'g') || '|>' end || chr(10) as header
+      else '<|user name=' || url_encode(speaker) || '|>' end || chr(10) as header
   from said join people using (conv_id)),
 made as (select *, header || regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g') || '<|end|>' || chr(10) as segment from heads),
 placed as (select *, length(segment) as chars, coalesce(sum(length(segment)) over (partition by conv_id, perspective

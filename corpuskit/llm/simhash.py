@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuskit.llm.common import bounded_cells, components, large_runs, run_pairs, starts_of, whole_runs
+from corpuskit.llm.text_figures import pieces
 from corpuskit.operators.lookup import lookup_join
 from corpuskit.session import cut_lineage
 
@@ -26,22 +27,36 @@ LANES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).view(np.u
 
 
 def fingerprint(text: str | None, shingle: int = 4, seed: int = SEED) -> int:
-    """SimHash of one text as a signed 64-bit number; 0 if it has no word."""
-    words = (text or "").encode("utf-8", "replace").lower().split()
-    if not words:
-        return 0
+    """SimHash of one text as a signed 64-bit number; 0 if it has no word.
+
+    A long text is worked through in pieces, which hand their last words on.
+    """
+    carried: list[bytes] = []
+    shingles, set_bits = 0, np.zeros(64, np.int64)
+    for piece in pieces(text or ""):
+        words = carried + piece.encode("utf-8", "replace").lower().split()
+        carried = words
+        if len(words) >= shingle:
+            shingles += len(words) - shingle + 1
+            set_bits += bit_counts(words, shingle, seed)
+            carried = words[len(words) - shingle + 1 :]
+    if not shingles:
+        whole = xxhash.xxh64_digest(b" ".join(carried), seed) if carried else bytes(8)
+        return int.from_bytes(whole, "big", signed=True)
+    return int.from_bytes(np.packbits(2 * set_bits > shingles).tobytes(), "big", signed=True)
+
+
+def bit_counts(words: list[bytes], shingle: int, seed: int) -> np.ndarray:
+    """How many shingles set each bit of their hash, the highest bit first."""
     joined = b" ".join(words)
-    if len(words) <= shingle:
-        return int.from_bytes(xxhash.xxh64_digest(joined, seed), "big", signed=True)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    starts = np.concatenate(([0], ends[: -shingle] + 1)).tolist()
+    starts = np.concatenate(([0], ends[: len(words) - shingle] + 1)).tolist()
     digest = xxhash.xxh64_digest
     raw = b"".join([digest(joined[a:b], seed) for a, b in zip(starts, ends[shingle - 1 :].tolist())])
     lanes = LANES[np.frombuffer(raw, np.uint8)].reshape(-1, 8)
     # A one-byte counter holds 255 shingles at most.
     sums = np.add.reduceat(lanes, np.arange(0, len(lanes), 255), axis=0)
-    set_bits = sums.view(np.uint8).reshape(len(sums), 64).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * set_bits > len(lanes)).tobytes(), "big", signed=True)
+    return sums.view(np.uint8).reshape(len(sums), 64).sum(axis=0, dtype=np.int64)
 
 
 def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 4) -> DataFrame:
@@ -153,14 +168,14 @@ def links(classes: DataFrame, distance: int = 4, blocks: int = BLOCKS, cell: int
     return dealt.mapInArrow(compare, "u bigint, v bigint")
 
 
-def rooted_classes(prints: DataFrame, distance: int) -> DataFrame:
+def rooted_classes(prints: DataFrame, distance: int, blocks: int = BLOCKS) -> DataFrame:
     """``(fp, root, component_id)`` of every distinct fingerprint.
 
     Only linked fingerprints are joined to the name of their root, by a lookup that
     splits the roots of very large groups; the others name themselves.
     """
     classes = cut_lineage(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    roots = cut_lineage(components(links(classes, distance)).withColumnRenamed("node", "fp"))
+    roots = cut_lineage(components(links(classes, distance, blocks)).withColumnRenamed("node", "fp"))
     linked = cut_lineage(roots.join(classes, "fp").select("fp", "root", "first"))
     names = linked.groupBy("root").agg(F.min("first").alias("component_id"))
     named = lookup_join(linked, names, "root", "inner").select("fp", "root", "component_id")
@@ -169,7 +184,7 @@ def rooted_classes(prints: DataFrame, distance: int) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 4, distance: int = 4
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 4, distance: int = 4, blocks: int = BLOCKS
 ) -> DataFrame:
     """``(doc_id, fp, component_id)``, one row per row of ``docs``.
 
@@ -179,11 +194,11 @@ def near_duplicates(
     holds another id; repeated ids give repeated rows; an empty table gives none.
     """
     prints = cut_lineage(fingerprints(docs, text, doc_id, shingle))
-    return prints.join(rooted_classes(prints, distance), "fp").select("doc_id", "fp", "component_id")
+    return prints.join(rooted_classes(prints, distance, blocks), "fp").select("doc_id", "fp", "component_id")
 
 
 def one_of_each(
-    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 4, distance: int = 4
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 4, distance: int = 4, blocks: int = BLOCKS
 ) -> DataFrame:
     """The rows of ``docs`` with all their columns, one for each group of near copies.
 
@@ -191,7 +206,7 @@ def one_of_each(
     hash; of equal rows, one.  A group of null ids keeps one row.
     """
     prints = cut_lineage(fingerprints(docs, text, doc_id, shingle))
-    named = prints.join(rooted_classes(prints, distance), "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    named = prints.join(rooted_classes(prints, distance, blocks), "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     chosen = named.groupBy("root", "doc_id").agg(F.min("text_hash").alias("text_hash"))
     stay = cut_lineage(
         named.join(chosen.select("root", "text_hash"), ["root", "text_hash"]).groupBy("root", "doc_id", "text_hash").agg(F.count("*").alias("n"))

@@ -60,7 +60,7 @@ def test_everything_that_stays_is_packed(stages):
 
 
 def test_registered(spark):
-    names = [f"op{n}_" for n in range(1, 11)]
+    names = [f"op{n}_" for n in range(1, 14)]
     assert all(sum(q.startswith(n) for q in catalog.queries()) == 1 for n in names)
     assert "pipeline" in catalog.queries() and corpus_pipeline.ORACLE_SQL is None
 
@@ -70,3 +70,25 @@ def test_empty_documents(spark, tmp_path):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SMALL)
     assert docs.count() == 0
+
+
+def test_every_model_sees_a_row_once(spark, monkeypatch):
+    """Rows that pass the models in one run, counted in the tasks; the last stage reads what was settled."""
+    seen = {}
+    for name, module, function in (("quality", corpus_pipeline.quality, "graded"), ("language", corpus_pipeline.language, "predicted")):
+        rows = seen[name] = spark.sparkContext.accumulator(0)
+
+        def counted(docs, *args, plain=getattr(module, function), rows=rows, **named):
+            def through(batches):
+                for batch in batches:
+                    rows.add(batch.num_rows)
+                    yield batch
+
+            return plain(docs.mapInArrow(through, docs.schema), *args, **named)
+
+        monkeypatch.setattr(module, function, counted)
+    small = "/root/testdata/sf0.001"
+    packed = corpus_pipeline.run(spark, small)
+    assert packed.count() > 0
+    total = spark.read.parquet(f"{small}/documents.parquet").count()
+    assert seen["quality"].value == total and 0 < seen["language"].value <= total

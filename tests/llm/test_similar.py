@@ -7,7 +7,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from corpuskit.llm import binary_codes, common, simhash, threshold_search
+from corpuskit.llm import binary_codes, common, simhash, text_figures, threshold_search
 from corpuskit.llm.vectors import is_valid
 
 
@@ -222,3 +222,34 @@ class Counted(np.ndarray):
         if isinstance(key, np.ndarray):
             self.read.append(len(key))
         return np.asarray(super().__getitem__(key))
+
+
+def test_different_vectors_under_one_id(spark):
+    draw = np.random.default_rng(4)
+    a, b = draw.normal(size=(2, 32))
+    rows = [(5, a.tolist()), (5, b.tolist()), (6, (a + 0.01).tolist()), (4, (b + 0.01).tolist()), (9, draw.normal(size=32).tolist())]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    found = binary_codes.near_duplicates(table).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in found) == [
+        (4, 1, 4, True), (5, 1, 4, False), (5, 1, 5, True), (6, 1, 5, False), (9, 0, 9, True),
+    ]
+    alone = binary_codes.near_duplicates(table.where("vec_id <> 4")).collect()
+    assert sorted((r.vec_id, r.n_links) for r in alone) == [(5, 0), (5, 1), (6, 1), (9, 0)]
+
+
+@pytest.mark.parametrize("words", [0, 1, 3, 4, 5, 900])
+def test_fingerprints_of_long_texts_do_not_depend_on_pieces(words, monkeypatch):
+    text = " \n".join(f"Wörd{n % 97}" for n in range(words))
+    tokens = text.encode().lower().split()
+    grams = [b" ".join(tokens[n : n + 4]) for n in range(max(1, len(tokens) - 3))] if tokens else []
+    hashes = [xxhash.xxh64_intdigest(g, 42) for g in grams]
+    want = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    for size in (3, 50, 10_000):
+        monkeypatch.setattr(simhash, "pieces", lambda text, size=size: text_figures.pieces(text, size))
+        assert simhash.fingerprint(text) % 2**64 == want
+
+
+def test_more_blocks_find_the_same_groups(spark):
+    docs = spark.range(400).selectExpr("id as doc_id", "concat_ws(' ', transform(sequence(1, 300), x -> (x * 7919 + id div 4 * 31 + if(x = id % 4 * 50, 1, 0)) % 1000)) as text")
+    rows = [sorted(map(tuple, simhash.near_duplicates(docs, blocks=b).collect())) for b in (6, 8)]
+    assert rows[0] == rows[1] and len({r[2] for r in rows[0]}) < 400

@@ -209,6 +209,7 @@ def test_perspectives(spark):
         (1, 1, "ann", "hi <|end|> there", 9),
         (1, 2, "bob", "hello", 9),
         (1, 3, "cy b", None, 9),
+        (1, 4, "cy_b", "other", 9),
         (2, None, None, "x", 9),
         (3, 0, "system", "alone", 9),
         (None, 0, "ann", "no id", 9),
@@ -216,13 +217,15 @@ def test_perspectives(spark):
     turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string, perspective int")
     made = perspectives.segments(turns)
     found = {(r.conv_id, r.perspective): r for r in perspectives.examples(made).collect()}
-    assert set(found) == {(1, "ann"), (1, "bob"), (1, "cy b"), (2, "unknown"), (None, "ann")}
+    assert set(found) == {(1, "ann"), (1, "bob"), (1, "cy b"), (1, "cy_b"), (2, "unknown"), (None, "ann")}
     assert found[1, "bob"].text == (
-        "<|system|>\nbe kind<|end|>\n<|user name=ann|>\nhi <\\|end|> there<|end|>\n<|assistant|>\nhello<|end|>\n<|user name=cy_b|>\n<|end|>\n"
+        "<|system|>\nbe kind<|end|>\n<|user name=ann|>\nhi <\\|end|> there<|end|>\n<|assistant|>\nhello<|end|>\n<|user name=cy%20b|>\n<|end|>\n"
+        "<|user name=cy_b|>\nother<|end|>\n"
     )
     for (_, who), row in found.items():
         said = [row.text[m["first"] : m["end"]] for m in row.mask]
-        assert said == {"ann": [s for s in said], "bob": ["hello<|end|>"], "cy b": ["<|end|>"], "unknown": ["x<|end|>"]}[who]
+        mine = {"ann": ["hi <\\|end|> there<|end|>"], "bob": ["hello<|end|>"], "cy b": ["<|end|>"], "cy_b": ["other<|end|>"], "unknown": ["x<|end|>"]}
+        assert said == (["no id<|end|>"] if row.conv_id is None else mine[who])
     assert perspectives.segments(turns.where("false")).count() == 0
     back = spark.createDataFrame([("a<|b <\\| <\\\\|",)], "t string").select(
         perspectives.unescaped(perspectives.escaped(F.col("t"))).alias("u"), "t"
@@ -230,6 +233,19 @@ def test_perspectives(spark):
     assert back.where("u = t").count() == 1
 
 
+@pytest.mark.parametrize("turn", [None, 7])
+def test_equal_turn_numbers_fall_into_many_stretches(spark, turn):
+    turns = spark.range(3000).select(
+        F.lit(1).cast("bigint").alias("conv_id"), F.lit(turn).cast("bigint").alias("turn"),
+        F.when(F.col("id") % 2 == 0, "ann").otherwise("bob").alias("role"), F.format_string("%05d", "id").alias("text"),
+    )
+    made = perspectives.segments(turns)
+    rows = sorted((r.start, r.chars, r.segment) for r in made.where("perspective = 'ann'").collect())
+    assert [a for a, _, _ in rows] == [0, *[a + n for a, n, _ in rows[:-1]]]
+    texts = [s.split("\n")[1][:5] for _, _, s in rows]
+    assert texts == [f"{n:05d}" for n in [*range(0, 3000, 2), *range(1, 3000, 2)]]
+
+
 def test_long_conversation(spark):
     turns = spark.range(2_000).select(
         F.lit(1).alias("conv_id"),
