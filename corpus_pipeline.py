@@ -6,12 +6,14 @@ returns a DataFrame.  All but the last return the columns of ``docs``.
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuskit.llm import language, packing, quality, simhash
 from corpuskit.plans.catalog import query
-from corpuskit.session import ship_package
+from corpuskit.session import checkpoint_dir, ship_package
 
 # Least probability of being sound, and least share of the best language.
 SOUND = 0.5
@@ -64,9 +66,20 @@ STAGES = [
 ]
 
 
+def settled(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """``docs``, written once to the shared folder.
+
+    Stages read their input several times; without this each would run all models
+    before it again, and so would every lost task.
+    """
+    path = f"{checkpoint_dir(spark)}/stage-{uuid4().hex}"
+    docs.write.parquet(path)
+    return spark.read.schema(docs.schema).parquet(path)
+
+
 @query("pipeline", ORACLE_SQL)
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = settled(spark, stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
