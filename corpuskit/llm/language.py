@@ -18,6 +18,7 @@ ROWS_PER_LANGUAGE = 240
 ORDER = 4
 MIN_COUNT = 6
 EVIDENCE_BYTES = 64  # a score weighs the advantage in bits of this many bytes
+LONG_TEXT = 1 << 20  # bytes; longer texts are coded in pieces
 DEAD, ROOT = 0, 1
 
 
@@ -54,6 +55,12 @@ class ContextTrees:
 
     def code_lengths(self, texts: list[bytes]) -> np.ndarray:
         """Exact code length in bits of each text under each language."""
+        long = [n for n, t in enumerate(texts) if len(t) > LONG_TEXT]
+        if long:
+            bits = self.code_lengths([t if len(t) <= LONG_TEXT else b"" for t in texts])
+            for n in long:
+                bits[n] = self.long_code_length(texts[n])
+            return bits
         data = np.frombuffer(b"\x00".join(texts) + b"\x00", np.uint8)
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         ends = np.cumsum(sizes + 1) - 1
@@ -65,6 +72,16 @@ class ContextTrees:
         last = np.where(sizes > 0, found[ends - 1], ROOT)
         return total + self.context[ROOT] - self.context[last]
 
+    def long_code_length(self, text: bytes) -> np.ndarray:
+        """The same for one text, piece by piece: a piece needs the last bytes before it as context only."""
+        total, found = np.zeros(len(self.languages)), np.zeros(0)
+        for at in range(0, len(text), LONG_TEXT):
+            back = min(at, self.order)
+            data = np.frombuffer(text, np.uint8, min(LONG_TEXT, len(text) - at) + back, at - back)
+            found = self.deepest(data)[back:]
+            total += self.cost[found].sum(axis=0, dtype=np.float64)
+        return total + self.context[ROOT] - self.context[found[-1]]
+
 
 def grow(texts: list[bytes], labels: list[int], languages: list[str], order: int = ORDER, min_count: int = MIN_COUNT) -> ContextTrees:
     """Count every string of up to ``order + 1`` bytes; keep, per language, those seen ``min_count`` times.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,6 +18,7 @@ DENSE = 4
 SIZE = (1 << GRAM_BITS) + (1 << WORD_BITS) + DENSE
 GRAM_SCALE = 8.0
 STEPS = 120
+LONG_TEXT = 1 << 20  # bytes; longer texts (by a bound on their characters) are worked through in pieces
 MULTIPLIERS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint32)  # odd constants of a multiplicative hash
 with np.errstate(over="ignore"):
     POWERS = np.cumprod(np.full(64, 0x9E3779B97F4A7C15, np.uint64))
@@ -54,11 +56,8 @@ def features(texts: list[str | None]) -> Features:
     rows = np.repeat(np.arange(len(raw)), sizes)
     # Bytes of the texts themselves, without the two blanks behind each.
     places = np.arange(int(sizes.sum())) + 2 * rows
-    wide = data.astype(np.uint32)
-    with np.errstate(over="ignore"):
-        mixed = wide[:-2] * MULTIPLIERS[0] + wide[1:-1] * MULTIPLIERS[1] + wide[2:] * MULTIPLIERS[2]
-        grams = (mixed >> np.uint32(32 - GRAM_BITS)).astype(np.int32)[places]
-        hashes, word_starts = word_hashes(data)
+    grams = gram_numbers(data)[places]
+    hashes, word_starts = word_hashes(data)
     owner = np.searchsorted(starts, word_starts, "right") - 1
     count = np.bincount(owner, minlength=len(raw))
     again = np.zeros(len(hashes), bool)
@@ -78,6 +77,39 @@ def features(texts: list[str | None]) -> Features:
     )
 
 
+WORD_END = re.compile(rb"[^0-9A-Za-z\x80-\xff]")
+
+
+def long_features(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The features of one long text, piece by piece: trigram counts, word buckets that occur, and the dense ones."""
+    grams, buckets = np.zeros(1 << GRAM_BITS, np.int64), np.zeros(1 << WORD_BITS, bool)
+    count = again = 0
+    last = np.zeros(0, np.uint64)
+    at = 0
+    while at < len(raw):
+        end = WORD_END.search(raw, at + LONG_TEXT)
+        stop = end.end() if end else len(raw)
+        data = np.frombuffer(raw[at : stop + 2] + b"  "[: max(0, stop + 2 - len(raw))], np.uint8)
+        grams += np.bincount(gram_numbers(data), minlength=len(grams))
+        hashes, _ = word_hashes(data[: stop - at])
+        buckets[(hashes >> np.uint64(64 - WORD_BITS)).astype(np.int64)] = True
+        joined = np.concatenate([last, hashes])
+        again += int((joined[1:] == joined[:-1]).sum())
+        count += len(hashes)
+        last = joined[-1:]
+        at = stop
+    dense = np.array([1, np.log1p(count) / 4, buckets.sum() / max(1, count), 3 * again / max(1, count)])
+    return grams, buckets, dense
+
+
+def gram_numbers(data: np.ndarray) -> np.ndarray:
+    """The bucket of the trigram at every byte but the last two."""
+    wide = data.astype(np.uint32)
+    with np.errstate(over="ignore"):
+        mixed = wide[:-2] * MULTIPLIERS[0] + wide[1:-1] * MULTIPLIERS[1] + wide[2:] * MULTIPLIERS[2]
+        return (mixed >> np.uint32(32 - GRAM_BITS)).astype(np.int32)
+
+
 def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit hash and the place of every run of letters, digits and non-ASCII bytes."""
     low = LOWER[data]
@@ -86,10 +118,11 @@ def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     begin, end = edge[::2], edge[1::2]
     size = end - begin
     nth = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-    terms = (low[inside].astype(np.uint64) + np.uint64(1)) * POWERS[nth & 63]
-    hashes = np.add.reduceat(terms, np.cumsum(size) - size) if len(size) else np.zeros(0, np.uint64)
-    hashes ^= hashes >> np.uint64(32)
-    return hashes * np.uint64(0x9E3779B97F4A7C15), begin
+    with np.errstate(over="ignore"):
+        terms = (low[inside].astype(np.uint64) + np.uint64(1)) * POWERS[nth & 63]
+        hashes = np.add.reduceat(terms, np.cumsum(size) - size) if len(size) else np.zeros(0, np.uint64)
+        hashes ^= hashes >> np.uint64(32)
+        return hashes * np.uint64(0x9E3779B97F4A7C15), begin
 
 
 @dataclass
@@ -101,7 +134,14 @@ class GradeModel:
 
     def tails(self, texts: list[str | None]) -> np.ndarray:
         """One column per grade above the lowest."""
-        score = features(texts).scores(self.weights)
+        score = np.zeros(len(texts))
+        short, long = by_size(texts)
+        score[short] = features([texts[n] for n in short]).scores(self.weights)
+        for n in long:
+            raw = texts[n].encode("utf-8", "replace")
+            grams, buckets, dense = long_features(raw)
+            words = self.weights[len(grams) : len(grams) + len(buckets)][buckets].sum(dtype=np.float64) / np.sqrt(max(1, buckets.sum()))
+            score[n] = grams @ self.weights[: len(grams)].astype(np.float64) * GRAM_SCALE / len(raw) + words + dense @ self.weights[-DENSE:]
         return sigmoid(score[:, None] - self.thresholds[None, :])
 
 
@@ -109,18 +149,61 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
+def by_size(texts: list[str | None]) -> tuple[list[int], list[int]]:
+    """Places of the texts that are worked through together, and of the long ones."""
+    short = [n for n, t in enumerate(texts) if len(t or "") <= LONG_TEXT // 4]
+    return short, sorted(set(range(len(texts))) - set(short))
+
+
 def design(texts: list[str | None], each: int = 200) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Rows, buckets and values of the hashed features, one entry per text and bucket, and the dense ones."""
-    parts, dense = [], []
-    for at in range(0, len(texts), each):
-        found = features(texts[at : at + each])
+    parts, all_dense = [], np.zeros((len(texts), DENSE))
+    short, long = by_size(texts)
+    for at in range(0, len(short), each):
+        some = np.array(short[at : at + each])
+        found = features([texts[n] for n in some])
         keys = np.concatenate([found.gram_rows * SIZE + found.grams, found.word_rows * SIZE + found.words])
         values = np.concatenate([found.gram_weight[found.gram_rows], found.word_weight[found.word_rows]])
         keys, inverse = np.unique(keys, return_inverse=True)
-        parts.append(((keys // SIZE + at).astype(np.int32), (keys % SIZE).astype(np.int32), np.bincount(inverse, values).astype(np.float32)))
-        dense.append(found.dense)
+        parts.append((some[keys // SIZE].astype(np.int32), (keys % SIZE).astype(np.int32), np.bincount(inverse, values).astype(np.float32)))
+        all_dense[some] = found.dense
+    for n in long:
+        raw = texts[n].encode("utf-8", "replace")
+        grams, held, all_dense[n] = long_features(raw)
+        values = np.concatenate([grams * GRAM_SCALE / len(raw), held / np.sqrt(max(1, held.sum()))])
+        at = np.flatnonzero(values)
+        parts.append((np.full(len(at), n, np.int32), at.astype(np.int32), values[at].astype(np.float32)))
     rows, buckets, values = (np.concatenate(x) for x in zip(*parts))
-    return rows, buckets, values, np.concatenate(dense)
+    return rows, buckets, values, all_dense
+
+
+def likelihood(
+    params: list[np.ndarray], data: tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray], grade: np.ndarray, decay: float
+) -> tuple[float, list[np.ndarray]]:
+    """Mean log likelihood less ``decay / 2`` times the squared weights, and its slopes.
+
+    ``params``: weights, first threshold, logs of the gaps between thresholds.  With the tail
+    probabilities t(g) >= t(g + 1) of a row of grade g its chance is t(g) - t(g + 1).
+    """
+    weights, base, gaps = params
+    rows, buckets, values, dense = data
+    n, top = len(grade), len(gaps) + 1
+    theta = base[0] + np.concatenate(([0.0], np.cumsum(np.exp(gaps))))
+    score = np.bincount(rows, weights[buckets] * values, n) + dense @ weights[-DENSE:]
+    tail = np.concatenate([np.ones((n, 1)), sigmoid(score[:, None] - theta), np.zeros((n, 1))], axis=1)
+    at, nxt = tail[np.arange(n), grade], tail[np.arange(n), grade + 1]
+    chance = np.maximum(at - nxt, 1e-12)
+    by_score = (1 - at - nxt) / n
+    by_theta = np.zeros((n, top + 2))
+    by_theta[np.arange(n), grade] -= at * (1 - at) / chance / n
+    by_theta[np.arange(n), grade + 1] += nxt * (1 - nxt) / chance / n
+    by_theta = by_theta.sum(axis=0)[1 : top + 1]
+    slope = np.bincount(buckets, by_score[rows] * values, len(weights))
+    slope[-DENSE:] += dense.T @ by_score
+    slope -= decay * weights
+    by_gap = np.cumsum(by_theta[::-1])[::-1][1:] * np.exp(gaps)
+    value = float(np.log(chance).mean() - decay / 2 * (weights @ weights))
+    return value, [slope, by_theta.sum(keepdims=True), by_gap]
 
 
 def fit(texts: list[str | None], grades: list[int], steps: int = STEPS, decay: float = 2e-4) -> GradeModel:
@@ -137,24 +220,9 @@ def fit(texts: list[str | None], grades: list[int], steps: int = STEPS, decay: f
     gaps = np.log(np.diff(first).clip(1e-2))
     params = [weights, first[:1].copy(), gaps]
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
-    n = len(grade)
     for step in range(1, steps + 1):
-        weights, base, gaps = params
-        theta = base[0] + np.concatenate(([0.0], np.cumsum(np.exp(gaps))))
-        score = np.bincount(rows, weights[buckets] * values, n) + dense @ weights[-DENSE:]
-        tail = np.concatenate([np.ones((n, 1)), sigmoid(score[:, None] - theta), np.zeros((n, 1))], axis=1)
-        at, nxt = tail[np.arange(n), grade], tail[np.arange(n), grade + 1]
-        chance = np.maximum(at - nxt, 1e-12)
-        by_score = (1 - at - nxt) / n
-        by_theta = np.zeros((n, top + 2))
-        by_theta[np.arange(n), grade] -= at * (1 - at) / chance / n
-        by_theta[np.arange(n), grade + 1] += nxt * (1 - nxt) / chance / n
-        by_theta = by_theta.sum(axis=0)[1 : top + 1]
-        slope = np.bincount(buckets, by_score[rows] * values, SIZE)
-        slope[-DENSE:] += dense.T @ by_score
-        slope -= decay * weights
-        by_gap = np.cumsum(by_theta[::-1])[::-1][1:] * np.exp(gaps)
-        for p, g, (m, v) in zip(params, (slope, by_theta.sum(keepdims=True), by_gap), moments):
+        _, slopes = likelihood(params, (rows, buckets, values, dense), grade, decay)
+        for p, g, (m, v) in zip(params, slopes, moments):
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
             p += 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
