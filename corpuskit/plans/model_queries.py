@@ -325,22 +325,28 @@ def sentencepiece_first_merges(spark, sf):
 # --- files, batches and draws -------------------------------------------------------------
 
 
-@query("saved_fixed_merges", " union all ".join(f"select {n} as rank, {quoted(a)} as \"left\", {quoted(b)} as \"right\", {quoted(a + b)} as merged, 'sentencepiece-bpe' as kind" for n, (a, b) in enumerate(MARKED_MERGES)))
-def saved_fixed_merges(spark, sf):
-    """A model with merges written as JSON and read back."""
+def through_json(spark, model):
+    """A model written as JSON and read back."""
     path = fresh_path(spark, "json")
-    models.write_json(fixed(spark, "sentencepiece-bpe"), path)
-    back = models.read_json(spark, path)
+    models.write_json(model, path)
+    return models.read_json(spark, path)
+
+
+@query("saved_trained_merges", f"select *, 'sentencepiece-bpe' as kind from ({first_merges_sql(WORDS, CHARS_OF, f"'{MARK}' || token")})")
+def saved_trained_merges(spark, sf):
+    """Merges trained on all documents, from the file of their model."""
+    docs = documents(spark, sf)
+    symbols = ct.distinct_symbols(ct.split_characters(ct.marked_word_counts(docs))).count()
+    back = through_json(spark, tk.train_sentencepiece(docs, symbols + len(SPECIAL_TOKENS) + FIRST_MERGES, "bpe"))
     return back.merges.withColumn("kind", F.lit(back.kind))
 
 
-@query("saved_fixed_logp", " union all ".join(f"select {quoted(t)} as token, cast({p!r} as double) as logp, 'sentencepiece-unigram' as kind" for t, p in MARKED_LOGP.items()))
-def saved_fixed_logp(spark, sf):
-    """A model with log probabilities and a mode written as JSON and read back."""
-    path = fresh_path(spark, "json")
-    models.write_json(fixed(spark, "sentencepiece-unigram"), path)
-    back = models.read_json(spark, path)
-    return back.unigram.withColumn("kind", F.lit(back.kind))
+@query("saved_trained_logp", f"select *, 'sentencepiece-unigram' as kind from ({trained_sql(f"'{MARK}' || w", MARKED_LINE)})")
+def saved_trained_logp(spark, sf):
+    """Log probabilities and mode of a model trained on the benchmark texts, from its file."""
+    model = tk.train_sentencepiece(table(spark, sf, "benchmark"), TRAINED, "unigram", doc_id="item_id", seed_factor=1)
+    back = through_json(spark, model)
+    return model_rows(back).withColumn("kind", F.lit(back.kind))
 
 
 @query("prompt_batch_sizes", """with r as (select (row_number() over () - 1) // 16 as batch_id, text from conversations where role = 'user')

@@ -220,3 +220,18 @@ def test_word_vectors_train_on_words_met_twice(spark):
     assert {r.token for r in words.collect()} <= {r.token for r in vocab.collect()}
     met = ids.select(F.sum(F.size("input_ids"))).first()[0]
     assert met == words.agg(F.sum("count")).first()[0] and size >= words.count()
+
+
+@pytest.mark.parametrize("kind", ["sentencepiece-bpe", "sentencepiece-unigram"])
+def test_fixed_models_through_files(spark, tmp_path, kind):
+    from corpuskit.plans import model_queries as mq
+    from corpuskit.sources import models
+
+    model = mq.fixed(spark, kind)
+    models.write_json(model, str(tmp_path / "model"))
+    back = models.read_json(spark, str(tmp_path / "model"))
+    assert back.kind == kind
+    if kind.endswith("bpe"):
+        assert merges_of(back) == [(a, b, a + b) for a, b in mq.MARKED_MERGES]
+    else:
+        assert {r.token: r.logp for r in back.unigram.collect()} == mq.MARKED_LOGP
