@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from corpuskit.config import SPECIAL_TOKENS, WORDPIECE_SPECIAL_TOKENS
 from corpuskit.operators.tokenizers import Tokenizer
 
-# Fixed value: what joins the two parts of a merge in the JSON form.
+# What joins the two parts of a merge in the JSON form, and the form of a key with escaped parts.
 PAIR_MARK = "|||"
+ESCAPED_KEY = r"^\|[^|]*\|\|\|[^|]*$"
 
 
 def write_tables(model: Tokenizer, path: str) -> None:
@@ -39,21 +40,39 @@ def _as_map(table: DataFrame, key: Column, value: Column, order: str) -> DataFra
     return table.agg(F.map_from_entries(pairs).alias("m"))
 
 
-def to_json(model: Tokenizer) -> DataFrame:
-    """One row, one column ``value``: the whole model as a JSON object.
+def _escaped(token: str) -> Column:
+    return F.replace(F.replace(F.col(token), F.lit("~"), F.lit("~0")), F.lit("|"), F.lit("~1"))
+
+
+def _unescaped(text: Column) -> Column:
+    return F.replace(F.replace(text, F.lit("~1"), F.lit("|")), F.lit("~0"), F.lit("~"))
+
+
+def _pair_key(left: str, right: str) -> Column:
+    """``left|||right``; with a ``|`` in a part, a leading ``|`` and both parts escaped (``~`` as ``~0``, ``|`` as ``~1``)."""
+    unsafe = F.contains(left, F.lit("|")) | F.contains(right, F.lit("|"))
+    return F.when(
+        unsafe, F.concat(F.lit("|"), _escaped(left), F.lit(PAIR_MARK), _escaped(right))
+    ).otherwise(F.concat(left, F.lit(PAIR_MARK), right))
 
-    Merges of tokens with a ``|`` could not be read back and are refused.
-    """
+
+def _pair_parts(key: str) -> tuple[Column, Column]:
+    """The two parts of such a key."""
+    escaped = F.rlike(key, F.lit(ESCAPED_KEY))
+    plain = F.split(key, r"\|\|\|")
+    inner = F.split(F.substring(key, 2, 2**30), r"\|\|\|")
+    left, right = (F.when(escaped, _unescaped(inner[at])).otherwise(plain[at]) for at in (0, 1))
+    return left, right
+
+
+def to_json(model: Tokenizer) -> DataFrame:
+    """One row, one column ``value``: the whole model as a JSON object."""
     vocab = _as_map(model.vocab, F.col("token"), F.col("id"), "id")
     row = vocab.select(F.lit(model.vocab_size).alias("vocab_size"), F.col("m").alias("vocab"))
     if model.kind.startswith("sentencepiece"):
         row = row.withColumn("mode", F.lit(model.kind.split("-")[1]))
     if model.kind.endswith("bpe"):
-        unsafe = F.contains("left", F.lit("|")) | F.contains("right", F.lit("|"))
-        key = F.when(
-            unsafe, F.raise_error(F.lit("a merged token holds |, use write_tables"))
-        ).otherwise(F.concat("left", F.lit(PAIR_MARK), "right"))
-        merges = _as_map(model.merges, key, F.col("merged"), "rank")
+        merges = _as_map(model.merges, _pair_key("left", "right"), F.col("merged"), "rank")
         row = row.withColumn("merges", merges.scalar())
     else:
         row = row.withColumn("merges", F.create_map().cast("map<string,string>"))
@@ -91,10 +110,8 @@ def read_json(spark: SparkSession, path: str, kind: str | None = None) -> Tokeni
         "is_special", F.col("token").isin(list(special))
     )
     merges = data.select(F.posexplode("merges").alias("rank", "key", "merged"))
-    parts = F.split("key", r"\|\|\|")
-    merges = merges.select(
-        "rank", parts[0].alias("left"), parts[1].alias("right"), "merged"
-    )
+    left, right = _pair_parts("key")
+    merges = merges.select("rank", left.alias("left"), right.alias("right"), "merged")
     unigram = data.select(F.explode("vocab_probs").alias("token", "logp"))
     return Tokenizer(
         kind, size, vocab,

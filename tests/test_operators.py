@@ -67,6 +67,15 @@ def test_large_vocabulary_path_gives_the_same_ids(corpus):
     assert text == {r[0]: r[1] for r in en.decode(joined, vocab).collect()}
 
 
+def test_merges_with_bars_come_back_from_json(spark, tmp_path):
+    pairs = [("a", "b"), ("|", "|"), ("|", "||"), ("||", "|"), ("~", "|"), ("~1", "|~0"), ("x", "~1"), ("|a", "b|||")]
+    merges = spark.createDataFrame([(n, a, b, a + b) for n, (a, b) in enumerate(pairs)], "rank int, left string, right string, merged string")
+    vocab = spark.createDataFrame([("|", 4, False)], "token string, id int, is_special boolean")
+    models.write_json(tk.Tokenizer("sentencepiece-bpe", 0, vocab, merges), str(tmp_path / "bars"))
+    back = models.read_json(spark, str(tmp_path / "bars")).merges
+    assert [(r["left"], r["right"], r["merged"]) for r in back.orderBy("rank").collect()] == [(a, b, a + b) for a, b in pairs]
+
+
 def test_salted_join_with_a_hot_key(spark):
     rows = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("key"))
     table = rows.select("key").distinct().where("key <> 'k7'").withColumn("value", F.length("key"))
