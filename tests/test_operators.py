@@ -38,6 +38,28 @@ def test_windows_by_hand(spark):
     assert [names[r["context"]] for r in wn.skipgram_pairs(ids).orderBy("slot").collect()] == ["a", "b", "d", "e"]
 
 
+def test_windows_keep_unknown_and_null_neighbours(spark, monkeypatch):
+    monkeypatch.setattr(wn, "WINDOW_ROWS", 2)
+    ids = spark.createDataFrame([(7, [5, -1, 3, 4, None, 6, 8]), (None, [1, 2, 3, 4, 5]), (8, [1, 2]), (9, None)], "doc_id bigint, input_ids array<int>")
+    got = [(r["doc_id"], r["pos"], r["target"], r["context"]) for r in wn.cbow_pairs(ids).collect()]
+    want = [(7, 2, 3, [5, 0, 4, None]), (7, 3, 4, [0, 3, None, 6]), (None, 2, 3, [1, 2, 4, 5])]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_words_by_splitting_equal_words_by_matching(spark):
+    texts = ["", " ", "a", " a b ", "\u3000x\u00a0y\x85z\x1cw\u200b v", "\n\n", "q\U0001F600 \u2028r", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        tx.words(F.col("t")).alias("split"), F.regexp_extract_all("t", F.lit(tx.WORD_PATTERN), F.lit(0)).alias("matched")
+    )
+    assert all(r["split"] == r["matched"] for r in rows.collect())
+
+
+def test_conditions_do_not_repeat_the_lookup(spark, corpus):
+    ids = wn.known_word_ids(corpus, vb.word_vocab(corpus)).where(F.size("input_ids") > 0)
+    plan = ids._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
 def test_letter_words(spark):
     row = spark.createDataFrame([("The dog. ran",)], "t string").select(tx.letter_words(F.col("t")).alias("w")).first()
     assert row["w"] == ["the", "ran"]
@@ -67,6 +89,17 @@ def test_large_vocabulary_path_gives_the_same_ids(corpus):
     assert text == {r[0]: r[1] for r in en.decode(joined, vocab).collect()}
 
 
+def test_large_vocabulary_keeps_rows_with_the_same_id_and_null_texts(spark, monkeypatch):
+    monkeypatch.setattr(en, "BLOCK_ITEMS", 4)
+    docs = spark.createDataFrame([(1, "a b a"), (1, "c d"), (2, None), (None, "b x"), (3, ""), (4, "a " * 9)], "doc_id bigint, text string")
+    vocab = spark.createDataFrame([(t, i, False) for i, t in enumerate("<UNK> a b c d".split(), 1)], "token string, id int, is_special boolean")
+    ids = en.encode_tokens(docs, tx.words(F.col("text")), vocab, limit=3)
+    assert sorted(map(str, ((r[0], r[1]) for r in ids.collect()))) == sorted(map(str, [(1, [2, 3, 2]), (1, [4, 5]), (2, []), (None, [3, 1]), (3, []), (4, [2] * 9)]))
+    moved = ids.withColumn("input_ids", F.transform("input_ids", lambda x: x + 1))
+    text = en.decode(moved, vocab, unknown="?", skip=(), limit=3)
+    assert sorted(map(str, ((r[0], r[1]) for r in text.collect()))) == sorted(map(str, [(1, "bcb"), (1, "d?"), (2, ""), (None, "ca"), (3, ""), (4, "b" * 9)]))
+
+
 def test_merges_with_bars_come_back_from_json(spark, tmp_path):
     pairs = [("a", "b"), ("|", "|"), ("|", "||"), ("||", "|"), ("~", "|"), ("~1", "|~0"), ("x", "~1"), ("|a", "b|||")]
     merges = spark.createDataFrame([(n, a, b, a + b) for n, (a, b) in enumerate(pairs)], "rank int, left string, right string, merged string")
