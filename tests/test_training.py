@@ -1,6 +1,8 @@
 import math
+import time
 
 import brute
+import pyarrow as pa
 import pytest
 from conftest import SMALL
 from hypothesis import given, settings
@@ -235,3 +237,42 @@ def test_fixed_models_through_files(spark, tmp_path, kind):
         assert merges_of(back) == [(a, b, a + b) for a, b in mq.MARKED_MERGES]
     else:
         assert {r.token: r.logp for r in back.unigram.collect()} == mq.MARKED_LOGP
+
+
+@pytest.mark.parametrize("block", [7, 1000])
+def test_suffixes_of_a_block_against_brute_force(monkeypatch, block):
+    monkeypatch.setattr(ct, "BLOCK_CHARS", block)
+    words = ["abababab", "été 中文中文", "a", "", "bababbbab", "中文"]
+    table = pa.table({"word": words, "freq": [3, 2, 5, 1, 1, 4], "first": [4, 0, 1, 2, 3, 5]})
+
+    def brute(known, size):
+        found = {}
+        for word, freq, first in zip(*(table.column(c).to_pylist() for c in table.column_names)):
+            for at in range(len(word)):
+                end = min(len(word), at + size)
+                if known:
+                    n = len(known[0])
+                    run = next((k for k in range(len(word)) if word[at + k : at + k + n] not in known), len(word))
+                    end = min(end, at + n + run - 1) if run else at
+                if end > at + (len(known[0]) if known else 0):
+                    old = found.get(word[at:end], (0, first))
+                    found[word[at:end]] = (old[0] + freq, min(old[1], first))
+        return found
+
+    for known, size in ((None, 5), (["ab", "ba", "中文"], 4), (["文中", "ba"], 6)):
+        levels = ct.beginning_codes(known) if known else None
+        got = {}
+        for batch in ct.block_suffixes(table, size, levels):
+            for suffix, freq, first in zip(*(batch.column(c).to_pylist() for c in range(3))):
+                old = got.get(suffix, (0, first))
+                got[suffix] = (old[0] + freq, min(old[1], first))
+        assert got == brute(known, size)
+
+
+def test_seeds_of_a_long_line_take_time_in_proportion(spark):
+    line = "".join(f"word{n % 977} " for n in range(60_000))
+    types = spark.createDataFrame([(line, 1, 0)], "word string, freq bigint, first bigint")
+    begin = time.monotonic()
+    found = {r["token"]: r["freq"] for r in ct.frequent_substrings(types, 50).collect()}
+    assert time.monotonic() - begin < 25  # cutting each suffix from the start of the line took minutes
+    assert found["word"] == line.count("word") and len(found) >= 50
