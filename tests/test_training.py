@@ -276,3 +276,38 @@ def test_seeds_of_a_long_line_take_time_in_proportion(spark):
     found = {r["token"]: r["freq"] for r in ct.frequent_substrings(types, 50).collect()}
     assert time.monotonic() - begin < 25  # cutting each suffix from the start of the line took minutes
     assert found["word"] == line.count("word") and len(found) >= 50
+
+
+def test_texts_are_cut_alike_in_both_engines(spark):
+    points = [chr(n) for n in range(1, 0x30000) if not 0xD800 <= n < 0xE000]
+    texts = ["".join(points), "a".join(points), "", " 　a\x1c\x85b​ ", " "]
+    docs = docs_of(spark, *texts)
+    rows = docs.select("doc_id", tx.words(F.col("text")).alias("w"), tx.chunks(F.col("text")).alias("c")).collect()
+    for row in rows:
+        assert row["w"] == tx.split_words(texts[row["doc_id"]])
+        assert row["c"] == tx.split_chunks(texts[row["doc_id"]])
+    for size in (1, 3, 50):
+        for text in texts:
+            parts = list(tx.pieces(text, size))
+            assert [w for p in parts for w in tx.split_words(p)] == tx.split_words(text)
+            assert [c for p in parts for c in tx.split_chunks(p)] == tx.split_chunks(text)
+
+
+def test_blocks_of_texts_count_before_the_shuffle(spark):
+    """Null texts, null ids, repeated ids and ids out of order; few rows leave a block."""
+    rows = [(7, "b a b"), (None, "c  b"), (-5, " a\td"), (7, "e a"), (3, None), (2**62, "f b")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    for fast, tokens in ((ct.chunk_counts, tx.chunks), (ct.stripped_word_counts, tx.words)):
+        slow = ct.count_tokens(docs, tokens(F.col("text")))
+        assert sorted(map(str, fast(docs).collect())) == sorted(map(str, slow.collect()))
+    plan = ct.chunk_counts(docs)._jdf.queryExecution().toString()
+    assert "Generate" not in plan  # before, every token was a row of its own
+
+
+def test_segmented_texts_give_the_tokens_of_their_words(corpus, texts):
+    nulls = corpus.unionByName(corpus.limit(1).selectExpr("99L as doc_id", "cast(null as string) as text"))
+    for model in (tk.train_bpe(corpus, 60), tk.train_wordpiece(corpus, 60), tk.train_sentencepiece(corpus, 60, "bpe")):
+        both = nulls.select(model.tokens(F.col("text")).alias("a"), model.segmenter()(model.words(F.col("text"))).alias("b")).collect()
+        assert len(both) == len(texts) + 1 and all(r["a"] == r["b"] for r in both)
+        plan = nulls.select(model.tokens(F.col("text")))._jdf.queryExecution().toString()
+        assert "split" not in plan and "regexp_extract_all" not in plan
