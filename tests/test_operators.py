@@ -1,8 +1,9 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from corpuskit.functions import arrays
+from corpuskit.functions import arrays, subwords
 from corpuskit.operators import counts as ct
 from corpuskit.operators import embedding_training as et
 from corpuskit.operators import encode as en
@@ -295,3 +296,26 @@ def test_plans_have_no_cartesian_product_and_prune_columns(spark):
     plan = catalog.queries()["chunk_counts"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan
     assert "SortAggregate" not in plan
+
+
+def test_text_index_compares_texts_with_equal_codes(monkeypatch):
+    texts = pa.array(["a", "", "bé", "a", "zz", None, "long" * 50])
+    asked = pa.array(["none", "a", "", "bé", "zz", "aaa", "long" * 50, None]).slice(1)
+    for codes in (subwords.text_codes, lambda x: np.zeros(len(x), np.uint64)):
+        monkeypatch.setattr(subwords, "text_codes", codes)
+        index = subwords.TextIndex(texts, np.arange(7, dtype=np.int32))
+        assert index.find(asked, -1).tolist() == [3, 1, 2, 4, -1, 6, -1]  # of equal texts the last one
+    assert subwords.TextIndex(texts[:0], np.zeros(0, np.int32)).find(asked, 9).tolist() == [9] * 7
+
+
+def test_vocabularies_beyond_a_million_words_leave_documents_in_place(spark):
+    """More words than are broadcast to joins, few bytes: no list is shuffled or written."""
+    size = 1_000_100
+    vocab = spark.range(size).select(F.concat(F.lit("w"), "id").alias("token"), F.col("id").cast("int").alias("id"))
+    docs = spark.createDataFrame([(0, "w0 w1000099 x w7"), (1, None), (2, "")], "doc_id bigint, text string")
+    ids = en.encode_tokens(docs, tx.words(F.col("text")), vocab, unk_id=-1)
+    text = en.decode(ids.withColumn("input_ids", F.concat("input_ids", F.array(F.lit(None).cast("int"), F.lit(size)))), vocab, unknown="?")
+    for plan in (ids, text):
+        assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString()
+    assert {r[0]: r[1] for r in ids.collect()} == {0: [0, 1000099, -1, 7], 1: [], 2: []}
+    assert {r[0]: r[1] for r in text.collect()}[0] == "w0w1000099?w7??"
