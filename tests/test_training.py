@@ -13,6 +13,7 @@ from corpuskit.config import SPECIAL_TOKENS, WORDPIECE_SPECIAL_TOKENS
 from corpuskit.functions import subwords, text as tx
 from corpuskit.operators import counts as ct
 from corpuskit.operators import losses as ls
+from corpuskit.operators import merge_training as mt
 from corpuskit.operators import tokenizers as tk
 from corpuskit.operators import unigram as ug
 from corpuskit.plans import training_queries
@@ -311,3 +312,23 @@ def test_segmented_texts_give_the_tokens_of_their_words(corpus, texts):
         assert len(both) == len(texts) + 1 and all(r["a"] == r["b"] for r in both)
         plan = nulls.select(model.tokens(F.col("text")))._jdf.queryExecution().toString()
         assert "split" not in plan and "regexp_extract_all" not in plan
+
+
+def test_words_sent_for_wordpiece_guesses_are_bounded(corpus, monkeypatch):
+    sent = []
+    whole = mt.MergeTrainer.words_with
+
+    def counted(self, codes):
+        found = whole(self, codes)
+        sent.append(len(found.freq) if found is not None else 0)
+        return found
+
+    monkeypatch.setattr(mt.MergeTrainer, "words_with", counted)
+    for name, value in (("SENT_WORDS", 24), ("SENT_AT_LEAST", 2), ("FEWEST_GUESSES", 3), ("MOST_GUESSES", 3)):
+        monkeypatch.setattr(mt, name, value)
+    types = ct.stripped_word_counts(corpus)
+    args = tx.wordpiece_characters, 12, WORDPIECE_SPECIAL_TOKENS, tx.WORDPIECE_PREFIX, True
+    merges = mt.first_merges(types, *args).collect()
+    assert len(merges) == 12 and sum(sent) <= 24 + 2 * len(sent) and max(sent) <= 3 and len(sent) > 2
+    monkeypatch.undo()
+    assert mt.first_merges(types, *args).collect() == merges
