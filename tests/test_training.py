@@ -2,6 +2,7 @@ import math
 import time
 
 import brute
+import numpy as np
 import pyarrow as pa
 import pytest
 from conftest import SMALL
@@ -10,13 +11,14 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from corpuskit.config import SPECIAL_TOKENS, WORDPIECE_SPECIAL_TOKENS
-from corpuskit.functions import subwords, text as tx
+from corpuskit.functions import lattice, subwords, text as tx
 from corpuskit.operators import counts as ct
 from corpuskit.operators import losses as ls
 from corpuskit.operators import merge_training as mt
 from corpuskit.operators import tokenizers as tk
 from corpuskit.operators import unigram as ug
 from corpuskit.plans import training_queries
+from corpuskit.session import cut_lineage
 
 
 def merges_of(model):
@@ -132,6 +134,46 @@ def test_importance_against_brute_force(corpus, texts):
             assert got.get(token, 0.0) == pytest.approx(change, abs=1e-6)
 
 
+@pytest.mark.parametrize("numbers", [40, 100_000])
+@given(st.lists(st.text("abcé𝒳", min_size=1, max_size=24), min_size=1, max_size=30, unique=True), st.dictionaries(st.text("abcé𝒳", min_size=1, max_size=18), st.sampled_from([-1.0, -2.0, -3.3, -4.0]), max_size=30))
+@settings(max_examples=60, deadline=None)
+def test_words_walked_together_gain_what_each_gains_alone(numbers, words, logp):
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(lattice, "TABLE_NUMBERS", numbers)
+        patch.setattr(lattice, "TREE_NUMBERS", numbers)
+        pieces, freq = lattice.Pieces(logp), np.arange(1, len(words) + 1)
+        got, expected = [], []
+        for n in lattice.by_length(words, len(pieces.codes), 64):
+            some = [words[x] for x in n.tolist()]
+            for piece, gain in lattice.gains(pieces, some, freq[n], lambda w: -ug.path_loss(list(w), logp)):
+                got += zip([pieces.tokens[x] for x in piece.tolist()], gain.tolist())
+    for word, f in zip(words, freq.tolist()):
+        expected += ug.word_gains(word, f, logp).items()
+    assert sorted(got) == sorted(expected)
+
+
+def test_pruning_writes_the_words_once(spark, corpus, monkeypatch):
+    """What each word gains was written anew in every round."""
+    written = []
+    monkeypatch.setattr(ug, "cut_lineage", lambda df: written.append(df.columns) or cut_lineage(df))
+    types = ct.stripped_word_counts(corpus)
+    seeds = ct.seed_subwords(types, 120)
+    assert ug.prune(types, seeds, 60, SPECIAL_TOKENS, 0.1).count() == 60
+    assert written == [["word", "freq"]]
+
+
+def test_importance_of_tokens_in_long_words(spark):
+    logp = {"a": -1.0, "b": -2.0, "ab": -1.5, "ba": -2.5, "abab": -3.1}
+    words = [("ab" * 50, 3), ("abba", 2), ("b" * 70, 1), ("", 4), ("xab", 5)]
+    rows = spark.createDataFrame([(w, f, n) for n, (w, f) in enumerate(words)], "word string, freq bigint, first bigint")
+    expected = {}
+    for word, f in words:
+        for token, gain in ug.word_gains(word, f, logp).items():
+            expected[token] = expected.get(token, 0.0) + gain
+    got = {r["token"]: r["importance"] for r in ug.token_importance(rows, logp).collect()}
+    assert got == pytest.approx(expected)
+
+
 @pytest.mark.parametrize("cross_word", [True, False])
 def test_sentencepiece_unigram(corpus, cross_word):
     model = tk.train_sentencepiece(corpus, 60, "unigram", cross_word=cross_word)
