@@ -152,6 +152,14 @@ def test_words_walked_together_gain_what_each_gains_alone(numbers, words, logp):
     assert sorted(got) == sorted(expected)
 
 
+@given(st.lists(st.text("abcé𝒳 ", max_size=24) | st.text("ab", min_size=60, max_size=70), max_size=30), st.dictionaries(st.text("abcé𝒳", min_size=1, max_size=18), st.sampled_from([-1.0, -2.0, -3.3, -4.0]), max_size=30))
+@settings(max_examples=100, deadline=None)
+def test_words_cut_together_are_cut_as_alone(words, logp):
+    segment = subwords.unigram_segmenter(logp)
+    assert segment.many(words) == [segment(w) for w in words]
+    assert subwords.cached(segment).many(words) == [segment(w) for w in words]
+
+
 def test_pruning_writes_the_words_once(spark, corpus, monkeypatch):
     """What each word gains was written anew in every round."""
     written = []
