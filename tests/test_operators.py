@@ -149,6 +149,43 @@ def test_negative_samples_follow_the_weights(spark):
     assert again.exceptAll(drawn).count() == 0
 
 
+@pytest.mark.parametrize("n, seed", [(2, 1), (50, 2), (3000, 3), (70_000, 4)])
+def test_draws_start_close_to_their_place(monkeypatch, n, seed):
+    """Each draw was searched by halves among all weights; now few are, and all land where they did."""
+    rng = np.random.default_rng(seed)
+    weight = rng.pareto(1.0, n) + 1e-3
+    weight[1 : n // 3] = 0
+    ids, cumulative = np.arange(n) * 3, np.cumsum(weight)
+    seeds, positive = rng.integers(-(2**63), 2**63 - 1, 40_000), rng.integers(0, 3 * n, 40_000)
+    table = wn.WeightedIds(ids, cumulative)
+    searched = []
+    monkeypatch.setattr(wn, "np", Counting(np, searched))
+    drawn = wn.draw_negatives(seeds, positive, table, 3)
+    assert drawn.shape == (40_000, 3) and not (drawn == positive[:, None]).any()
+    for slot in range(3):
+        want, attempt, todo = np.full(40_000, -1), 0, np.arange(40_000)
+        while len(todo):
+            u = wn.uniform(seeds[todo], attempt * 3 + slot) * cumulative[-1]
+            want[todo] = ids[np.minimum(np.searchsorted(cumulative, u, side="right"), n - 1)]
+            todo, attempt = todo[want[todo] == positive[todo]], attempt + 1
+        assert drawn[:, slot].tolist() == want.tolist()
+    assert sum(searched) < drawn.size / 20
+
+
+class Counting:
+    """numpy that notes how many values are searched by halves."""
+
+    def __init__(self, module, noted):
+        self.module, self.noted = module, noted
+
+    def __getattr__(self, name):
+        return self.searchsorted if name == "searchsorted" else getattr(self.module, name)
+
+    def searchsorted(self, table, values, **options):
+        self.noted.append(np.size(values))
+        return self.module.searchsorted(table, values, **options)
+
+
 def every_pair(table):
     ids = table.select(F.col("id").alias("i"))
     return ids.join(ids.select(F.col("i").alias("j")), F.col("i") < F.col("j"))
