@@ -382,3 +382,29 @@ def test_words_sent_for_wordpiece_guesses_are_bounded(corpus, monkeypatch):
     assert len(merges) == 12 and sum(sent) <= 24 + 2 * len(sent) and max(sent) <= 3 and len(sent) > 2
     monkeypatch.undo()
     assert mt.first_merges(types, *args).collect() == merges
+
+
+@pytest.mark.parametrize("kind", ["bpe", "wordpiece", "sentencepiece-bpe", "sentencepiece-unigram"])
+@pytest.mark.parametrize("items", [7, 4_000_000])
+def test_ids_and_texts_are_made_in_slices(spark, monkeypatch, kind, items):
+    """Tokens went to Spark and back as lists of strings, ten thousand texts at a time."""
+    from corpuskit.operators import encode as en
+    from corpuskit.plans.model_queries import fixed
+
+    monkeypatch.setattr(en, "SLICE_ITEMS", items)
+    model = fixed(spark, kind)
+    texts = ["the thin  ant", None, "", "and ##the zé the\tother", " ", "##", "then " * 9]
+    docs = spark.createDataFrame([(n, t) for n, t in enumerate(texts)] + [(None, "ant")], "key bigint, text string").coalesce(1)
+    encoded = model.encode(docs, doc_id="key", add_special=True)
+    by_tokens = en.encode_tokens(docs, model.tokens(F.col("text")), model.vocab, doc_id="key")
+    first, last = model.marker_ids
+    want = {r["doc_id"]: [first, *r["input_ids"], last] for r in by_tokens.collect()}
+    assert {r["doc_id"]: r["input_ids"] for r in encoded.collect()} == want
+    shifted = encoded.withColumn("input_ids", F.concat(F.array(F.lit(9999), F.lit(None).cast("int")), "input_ids"))
+    shifted = shifted.union(spark.createDataFrame([(77, None), (78, [])], shifted.schema))
+    for skip in ((), tuple(model.special)):
+        texts = en.decode(shifted, model.vocab, model.style, skip=skip)
+        tokens = en.ids_to_tokens(shifted, model.vocab, skip=skip)
+        joined = tokens.select("doc_id", en.joined_text(F.col("tokens"), model.style))
+        assert {r[0]: r[1] for r in texts.collect()} == {r[0]: r[1] for r in joined.collect()}
+        assert "ArrowEvalPython" not in texts._jdf.queryExecution().toString()
