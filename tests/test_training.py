@@ -408,3 +408,22 @@ def test_ids_and_texts_are_made_in_slices(spark, monkeypatch, kind, items):
         joined = tokens.select("doc_id", en.joined_text(F.col("tokens"), model.style))
         assert {r[0]: r[1] for r in texts.collect()} == {r[0]: r[1] for r in joined.collect()}
         assert "ArrowEvalPython" not in texts._jdf.queryExecution().toString()
+
+
+def test_wordpiece_guesses_stay_as_many_as_hold(corpus, monkeypatch):
+    """After a pass whose guesses failed their number grew again to the one that fails."""
+    tried, passes = mt.MergeTrainer.tried, []
+
+    def few_hold(self, guesses, near, symbols):
+        accepted = tried(self, guesses[: 1 if len(guesses) > 4 else None], near, symbols)
+        passes.append((len(guesses), len(accepted)))
+        return accepted
+
+    monkeypatch.setattr(mt.MergeTrainer, "tried", few_hold)
+    for name, value in (("FEWEST_GUESSES", 2), ("MOST_GUESSES", 8)):
+        monkeypatch.setattr(mt, name, value)
+    args = ct.stripped_word_counts(corpus), tx.wordpiece_characters, 20, WORDPIECE_SPECIAL_TOKENS, tx.WORDPIECE_PREFIX, True
+    merges = mt.first_merges(*args).collect()
+    assert len(merges) == 20 and [n for n, _ in passes].count(8) == 1
+    monkeypatch.undo()
+    assert mt.first_merges(*args).collect() == merges
